@@ -31,6 +31,12 @@ PRODUCTS = [
     ("MACHINERY", "骑行意外险", "体育", "场景", "体育"),
 ]
 
+# Liability codes the claim system knows.
+LIABILITY_CODES = [
+    "2000000224", "2000000217", "2000000216", "2000000219", "2000000220",
+    "2000000256", "2000000255", "2000000229", "2000000209", "2000000213",
+]
+
 
 def money(c: Column) -> Column:
     return c.cast("decimal(14,2)").cast(MONEY)
@@ -111,6 +117,12 @@ class Tables:
             )
             .join(self.customer, "holder_id", "left")
             .withColumnRenamed("city", "channel")
+            .withColumn(
+                "region_code",
+                F.when(F.pmod(F.col("policy_id"), F.lit(6)) == 0, None)
+                .when(F.pmod(F.col("policy_id"), F.lit(6)) == 1, F.substring("region_code", 1, 4))
+                .otherwise(F.col("region_code")),
+            )
         )
 
     @cached_property
@@ -149,7 +161,7 @@ class Tables:
     @cached_property
     def insured_work(self) -> DataFrame:
         """Insured people with the text of their work type."""
-        p = self.raw("part").select(F.col("p_partkey").alias("person_id"), F.col("p_type").alias("work_type"))
+        p = self.raw("part").select(F.col("p_partkey").alias("person_id"), F.when(F.pmod("p_size", F.lit(10)) != 0, F.col("p_type")).alias("work_type"))
         return self.insured.join(p, "person_id", "left")
 
     @cached_property
@@ -197,6 +209,22 @@ class Tables:
             F.when(F.pmod(F.col("l_linenumber"), F.lit(2)) == 0, "死亡").otherwise("伤残").alias("case_type"),
         )
 
+    @cached_property
+    def claim_source(self) -> DataFrame:
+        """Claims, liabilities and notices of the second claim system, one row each per returned line."""
+        price = F.col("l_extendedprice").cast("decimal(14,2)")
+        codes = F.array(*[F.lit(c) for c in LIABILITY_CODES])
+        return self._line.where("l_returnflag = 'R'").select(
+            F.concat(F.lit("C"), "line_id").alias("claim_no"),
+            F.when(F.col("l_linestatus") == "F", F.concat(F.lit("N"), "line_id")).alias("notice_no"),
+            F.when(F.col("l_tax") == 0.08, -1).otherwise(1).alias("status"),
+            F.element_at(codes, (F.pmod(F.col("l_linenumber") + F.col("l_suppkey"), F.lit(len(LIABILITY_CODES))) + 1).cast("int")).alias("liability_code"),
+            (price * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY).alias("amount"),
+            F.col("l_orderkey").alias("policy_id"),
+            mobile(F.col("l_partkey")).alias("mobile"),
+            F.when(F.col("l_tax") > 0, F.col("l_shipdate").cast("date")).alias("loss_day"),
+        )
+
     @cached_property
     def claim(self) -> DataFrame:
         from coverlake.operators.claims import claim_conform
@@ -267,6 +295,13 @@ class Tables:
             F.when(kind == 0, "1-3类").when(kind == 1, "1-4类").when(kind == 2, "5类").otherwise("").alias("profession_type"),
         )
 
+    @cached_property
+    def watch_list(self) -> DataFrame:
+        """Enterprises on the black list (1) and the grey list (2)."""
+        return self.customer.where("balance < 0").select(
+            F.col("holder_name").alias("ent_name"), F.when(F.col("balance") < -500, 1).otherwise(2).alias("colour")
+        )
+
     @cached_property
     def change_log(self) -> DataFrame:
         kind = F.when(F.col("event_type") == "signup", "INSERT").when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE")

@@ -92,8 +92,11 @@ def ledger_enrich(
     )
 
 
-def clamped_cover(insured: DataFrame, policy: DataFrame) -> DataFrame:
-    """Each insured person's cover cut to the policy period; a missing end falls back to the other one."""
+def clamped_cover(insured: DataFrame, policy: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each insured person's cover cut to the policy period; a missing end falls back to the other one.
+
+    ``carry`` names further policy columns to keep, which saves joining the policy again later.
+    """
     s, e = F.coalesce("start_date", "end_date"), F.coalesce("end_date", "start_date")
     people = insured.withColumn("raw_start", s).withColumn("raw_end", e).drop("start_date", "end_date")
     periods = policy.select(
@@ -102,6 +105,7 @@ def clamped_cover(insured: DataFrame, policy: DataFrame) -> DataFrame:
         F.coalesce("end_date", "start_date").alias("policy_end"),
         "charge_type",
         "price",
+        *carry,
     )
     return people.join(periods, "policy_id").select(
         *insured.drop("start_date", "end_date").columns,
@@ -109,6 +113,7 @@ def clamped_cover(insured: DataFrame, policy: DataFrame) -> DataFrame:
         "policy_end",
         "charge_type",
         "price",
+        *carry,
         F.greatest("raw_start", "policy_start").alias("cover_start"),
         F.least("raw_end", "policy_end").alias("cover_end"),
     ).where(F.col("cover_start") <= F.col("cover_end"))
@@ -149,14 +154,14 @@ def daily_premium(cover: DataFrame) -> DataFrame:
     return explode_days(daily_premium_runs(cover), "from_day", "to_day").select("policy_id", "day", "premium")
 
 
-def distinct_cover(cover: DataFrame, person: str = "cert_no") -> DataFrame:
+def distinct_cover(cover: DataFrame, person: str = "cert_no", carry: tuple[str, ...] = ()) -> DataFrame:
     """Disjoint cover periods per (policy, person): whoever is listed twice on a day counts once."""
-    return merge_intervals(cover, ["policy_id", person], "cover_start", "cover_end")
+    return merge_intervals(cover.where(F.col(person).isNotNull()), ["policy_id", person, *carry], "cover_start", "cover_end")
 
 
 def daily_headcount_runs(cover: DataFrame, policy: DataFrame, person: str = "cert_no") -> DataFrame:
     """Distinct insured people per policy as runs of days over the whole policy period, zeros included."""
-    people = distinct_cover(cover.where(F.col(person).isNotNull()), person).select(
+    people = distinct_cover(cover, person).select(
         "policy_id", "start", "end", F.lit(1).alias("n")
     )
     periods = policy.select(
@@ -186,6 +191,31 @@ def earned_to_date(cover: DataFrame, policy: DataFrame, as_of: date) -> DataFram
     )
 
 
+def earned_between(cover: DataFrame, first: date, last: date, name: str) -> DataFrame:
+    """Premium earned per policy on days first..last; policies that earn nothing before ``last`` have no row."""
+    start, end = F.greatest("cover_start", F.lit(first)), F.least("cover_end", F.lit(last))
+    days = F.when(start <= end, F.datediff(end, start) + 1).otherwise(0)
+    return (
+        day_prices(cover.where(F.col("cover_start") <= F.lit(last)))
+        .groupBy("policy_id")
+        .agg(F.sum(F.coalesce("day_price", F.lit(0)) * days).alias(name))
+    )
+
+
+def exposure_to_date(cover: DataFrame, as_of: date) -> DataFrame:
+    """Per policy: distinct people covered today, and person-days up to today."""
+    upto = F.least("end", F.lit(as_of))
+    return (
+        distinct_cover(cover)
+        .where(F.col("start") <= F.lit(as_of))
+        .groupBy("policy_id")
+        .agg(
+            F.count_if(F.col("end") >= F.lit(as_of)).alias("curr_insured"),
+            F.sum(F.datediff(upto, "start") + 1).alias("person_count"),
+        )
+    )
+
+
 def current_month_summary(
     policy: DataFrame, headcount_today: DataFrame, accounts: DataFrame, as_of: date, gig_line: str = "零工保"
 ) -> DataFrame:

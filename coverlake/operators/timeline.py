@@ -93,55 +93,36 @@ def sums_inside(
     fact_day: str,
     measures: Sequence[str],
 ) -> DataFrame:
-    """For each distinct cover (keys, start, end): sum of the measures of facts with the same keys dated inside it.
+    """For each cover (keys, start, end): sum of the measures of facts with the same keys dated inside it.
 
-    An interval join without pairs: facts shrink to one row per (keys, day), a running sum is read at ``end`` and just
-    before ``start``, and the two readings are subtracted. Facts without a date count in every cover of their keys.
-    A cover without a fact gives zero.
+    An interval join without pairs and without a join: facts shrink to one row per (keys, day), a running sum is read at
+    ``end`` and just before ``start``, and the two readings are subtracted. Facts without a date count in every cover of
+    their keys. A cover without a fact gives zero. ``covers`` must be distinct; further columns of it are kept.
     """
-    ask = covers.select(*keys, F.col(start).alias("s"), F.col(end).alias("e")).distinct()
-    zero = [F.lit(0).cast(facts.schema[m].dataType).alias(m) for m in measures]
-    daily = (
-        facts.where(F.col(fact_day).isNotNull())
-        .groupBy(*keys, F.col(fact_day).alias("day"))
-        .agg(*[F.sum(m).cast(facts.schema[m].dataType).alias(m) for m in measures])
-        .select(*keys, "day", F.lit(0).alias("sign"), F.lit(None).cast("date").alias("s"), F.lit(None).cast("date").alias("e"), *measures)
-    )
-    readings = ask.where(F.col("s") <= F.col("e")).select(
-        *keys,
+    s, e, day = F.col(start), F.col(end), F.col(fact_day)
+    own = covers.columns
+    zero = {m: F.lit(0).cast(facts.schema[m].dataType) for m in measures}
+    daily = facts.groupBy(*keys, day.alias("day")).agg(*[F.sum(m).cast(facts.schema[m].dataType).alias(m) for m in measures])
+    readings = covers.select(
+        *own,
         F.inline(
             F.array(
-                F.struct(F.col("e").alias("day"), F.lit(1).alias("sign")),
-                F.struct(F.date_sub("s", 1).alias("day"), F.lit(-1).alias("sign")),
+                F.struct(F.when(s <= e, e).otherwise(s).alias("day"), F.lit(1).alias("sign")),
+                F.struct(F.when(s <= e, F.date_sub(s, 1)).otherwise(s).alias("day"), F.lit(-1).alias("sign")),
             )
         ),
-        "s",
-        "e",
-        *zero,
+        *[zero[m].alias(m) for m in measures],
     )
     upto = Window.partitionBy(*keys).orderBy("day")  # default RANGE frame: rows of one day share one value
-    inside = (
-        daily.unionByName(readings)
-        .select(*keys, "sign", "s", "e", *[F.sum(m).over(upto).alias(m) for m in measures])
-        .where(F.col("sign") != 0)
-        .groupBy(*keys, "s", "e")
-        .agg(*[F.sum(F.col(m) * F.col("sign")).alias(m) for m in measures])
-    )
-    undated = (
-        facts.where(F.col(fact_day).isNull())
-        .groupBy(*keys)
-        .agg(*[F.sum(m).alias(f"undated_{m}") for m in measures])
-    )
-    zero_of = {m: F.lit(0).cast(facts.schema[m].dataType) for m in measures}
+    everything = Window.partitionBy(*keys)
+    dated = {m: F.sum(F.when(F.col("day").isNotNull(), F.col(m)).otherwise(zero[m])).over(upto) for m in measures}
+    undated = {m: F.sum(F.when(F.col("day").isNull(), F.col(m)).otherwise(zero[m])).over(everything) for m in measures}
     return (
-        ask.join(inside, [*keys, "s", "e"], "left")
-        .join(undated, list(keys), "left")
-        .select(
-            *keys,
-            F.col("s").alias(start),
-            F.col("e").alias(end),
-            *[(F.coalesce(F.col(m), zero_of[m]) + F.coalesce(F.col(f"undated_{m}"), zero_of[m])).alias(m) for m in measures],
-        )
+        daily.unionByName(readings, allowMissingColumns=True)
+        .select(*own, "sign", *[dated[m].alias(m) for m in measures], *[undated[m].alias(f"undated_{m}") for m in measures])
+        .where(F.col("sign").isNotNull())
+        .groupBy(*own)
+        .agg(*[(F.sum(F.col(m) * F.col("sign")) + F.max(f"undated_{m}")).alias(m) for m in measures])
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coverlake.adapters import AS_OF, PRODUCTS, WORK_NAMES, WORK_RISK
+from coverlake.adapters import AS_OF, LIABILITY_CODES, PRODUCTS, WORK_NAMES, WORK_RISK
 
 TODAY = f"DATE '{AS_OF.isoformat()}'"
 
@@ -72,7 +72,9 @@ SELECT o_orderkey AS policy_id, 'P' || CAST(o_orderkey AS VARCHAR) AS policy_cod
   CAST(o_totalprice AS DECIMAL(14,4)) AS first_premium,
   CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(14,4)) AS price,
   CAST(o_orderkey % 20 + 1 AS INTEGER) AS person_count, o_orderpriority AS insurer,
-  holder_name, holder_cert_no, holder_mobile, product_code, region_code, city AS channel, province, balance
+  holder_name, holder_cert_no, holder_mobile, product_code,
+  CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN substr(region_code, 1, 4) ELSE region_code END AS region_code,
+  city AS channel, province, balance
 FROM orders LEFT JOIN d_customer ON o_custkey = holder_id""",
     "d_policy_chain": """
 SELECT *, lag(policy_id) OVER (PARTITION BY holder_id ORDER BY start_date, policy_id) AS predecessor_id FROM d_policy""",
@@ -88,7 +90,7 @@ SELECT line_id AS insured_id, l_orderkey AS policy_id, l_partkey AS person_id,
   l_suppkey AS workplace_id
 FROM d_line""",
     "d_insured_work": """
-SELECT i.*, p_type AS work_type FROM d_insured i LEFT JOIN part ON person_id = p_partkey""",
+SELECT i.*, CASE WHEN p_size % 10 <> 0 THEN p_type END AS work_type FROM d_insured i LEFT JOIN part ON person_id = p_partkey""",
     "d_dependant": f"""
 SELECT {_LINE_ID} AS master_id, 'S' || CAST(l_suppkey AS VARCHAR) AS slave_name,
   {cert_sql('l_suppkey', 'l_suppkey % 25')} AS slave_cert_no
@@ -111,6 +113,13 @@ SELECT line_id AS case_no, l_orderkey AS policy_id, l_partkey AS person_id,
   CASE WHEN l_linestatus = 'F' THEN '结案' ELSE '处理中' END AS case_status,
   CASE WHEN l_linenumber % 2 = 0 THEN '死亡' ELSE '伤残' END AS case_type
 FROM d_line WHERE l_returnflag = 'R'""",
+    "d_claim_source": f"""
+SELECT 'C' || {_LINE_ID} AS claim_no, CASE WHEN l_linestatus = 'F' THEN 'N' || {_LINE_ID} END AS notice_no,
+  CASE WHEN l_tax = 0.08 THEN -1 ELSE 1 END AS status,
+  [{', '.join(repr(c) for c in LIABILITY_CODES)}][(l_linenumber + l_suppkey) % {len(LIABILITY_CODES)} + 1] AS liability_code,
+  CAST({_XP} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(14,4)) AS amount, l_orderkey AS policy_id,
+  {mobile_sql('l_partkey')} AS mobile, CASE WHEN l_tax > 0 THEN CAST(l_shipdate AS DATE) END AS loss_day
+FROM lineitem WHERE l_returnflag = 'R'""",
     "d_claim": """
 SELECT case_no, policy_id, person_id, risk_cert_no, case_status, case_type,
   CASE WHEN length(risk_date) > 7 THEN CAST(replace(risk_date, '/', '-') AS DATE) END AS risk_day,
@@ -141,6 +150,8 @@ FROM d_policy""",
     "d_work_grade": """
 SELECT o_orderkey AS policy_id, CASE o_orderkey % 4 WHEN 0 THEN '1-3类' WHEN 1 THEN '1-4类' WHEN 2 THEN '5类' ELSE '' END AS profession_type
 FROM orders""",
+    "d_watch_list": """
+SELECT holder_name AS ent_name, CASE WHEN balance < -500 THEN 1 ELSE 2 END AS colour FROM d_customer WHERE balance < 0""",
     "d_change_log": """
 SELECT user_id AS key, event_id AS seq,
   CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS type, value, props
