@@ -30,7 +30,7 @@ class Query:
     def oracle(self, ctes: dict[str, str]) -> str | None:
         if self.sql is None:
             return None
-        casts = ", ".join(f"CAST({c} AS {SQL_TYPE[t]}) AS {c}" for c, t in self.columns.items())
+        casts = ", ".join(f'CAST("{c}" AS {SQL_TYPE[t]}) AS "{c}"' for c, t in self.columns.items())
         parts = [f"{n} AS (\n{ctes[n].strip()}\n)" for n in needed(self.sql, ctes)]
         parts.append(f"answer AS (\n{self.sql.strip()}\n)")
         return "WITH " + ",\n".join(parts) + f"\nSELECT {casts} FROM answer"
