@@ -50,26 +50,35 @@ def gender(cert: Column) -> Column:
     return F.when(F.length(cert) == 18, F.pmod(_number(cert, 17, 1), F.lit(2)))
 
 
+def profile_gender(cert: Column) -> Column:
+    """Gender code of person profiles: 1 if digit 17 is odd, 2 if even."""
+    return F.when(gender(cert) == 1, "1").when(gender(cert) == 0, "2")
+
+
 def home_code(cert: Column) -> Column:
     return F.concat(F.substring(cert, 1, 4), F.lit("00"))
 
 
 def decade(cert: Column) -> Column:
-    """Decade of birth written as two digits, ``80`` for 1980-1989."""
-    return F.concat(F.substring(cert, 9, 1), F.lit("0"))
+    """Decade of birth, ``80后`` for 1980-1989."""
+    return F.when(_number(cert, 9, 2).isNotNull(), F.concat(F.substring(cert, 9, 1), F.lit("0后")))
 
 
 def age_band(age: Column) -> Column:
     return (
-        F.when(age < 12, "0-11")
-        .when(age < 18, "12-17")
-        .when(age < 28, "18-27")
-        .when(age < 45, "28-44")
-        .when(age < 60, "45-59")
-        .otherwise("60+")
+        F.when(age < 12, "儿童")
+        .when(age < 18, "少年")
+        .when(age < 28, "青年")
+        .when(age < 45, "壮年")
+        .when(age < 60, "中年")
+        .when(age >= 60, "老年")
     )
 
 
+def retired(age: Column) -> Column:
+    return F.when(age > 60, "退休").when(age <= 60, "未退休")
+
+
 def star_sign(month: Column, day: Column) -> Column:
     """Star sign id 1..12 of a birthday."""
     cutoffs = F.array(*[F.lit(d) for d in SIGN_CUTOFF])
