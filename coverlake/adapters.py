@@ -26,7 +26,7 @@ WORK_RISK = {"装配工": ("2", "3|x"), "保洁": ("1", "S|x"), "快递员": ("4
 PRODUCTS = [
     ("AUTOMOBILE", "雇主责任险", "蓝领外包", "雇主", "雇主"),
     ("BUILDING", "建筑工人意外险", "蓝领外包", "雇主", "雇主"),
-    ("FURNITURE", "马拉松意外险", "体育", "场景", "体育"),
+    ("FURNITURE", "马拉松意外险", "体育", "场景", "场景"),
     ("HOUSEHOLD", "家庭健康险", "健康", "健康", "健康"),
     ("MACHINERY", "骑行意外险", "体育", "场景", "体育"),
 ]
