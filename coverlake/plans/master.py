@@ -77,7 +77,7 @@ def source_people(t: Tables) -> DataFrame:
         F.when(F.pmod("workplace_id", F.lit(7)) == 0, "NULL").otherwise(F.col("mobile")).alias("mobile"),
         (F.pmod("person_id", F.lit(3))).cast("int").alias("sex"),
         "start_date", "end_date",
-        F.when(F.pmod("workplace_id", F.lit(2)) == 0, F.concat(F.lit("U"), F.pmod("workplace_id", F.lit(10)).cast("string"))).alias("user_id"),
+        F.when(F.col("workplace_id") > 3, F.concat(F.lit("U"), F.col("workplace_id").cast("string"))).alias("user_id"),
     )
 
 
@@ -86,11 +86,11 @@ SELECT insured_id, policy_id, '员工号' AS insured_name, CASE WHEN workplace_i
   CASE WHEN length(cert_no) = 18 THEN 1 ELSE -1 END AS cert_type, cert_no, CASE WHEN workplace_id % 7 <> 0 THEN mobile END AS mobile,
   CASE person_id % 3 WHEN 2 THEN 0 WHEN 1 THEN 1 END AS gender,
   CASE WHEN length(cert_no) = 18 AND start_date IS NOT NULL THEN {age_sql('cert_no', 'start_date')} END AS age
-FROM d_insured WHERE start_date IS NULL OR start_date >= DATE '1998-01-01' OR workplace_id % 2 = 1 OR workplace_id % 10 <> 4""")
+FROM d_insured WHERE start_date IS NULL OR start_date >= DATE '1998-01-01' OR workplace_id NOT IN (4, 14)""")
 def insured_conform(t: Tables) -> DataFrame:
     people = source_people(t)
     second = F.col("start_date").isNull() | (F.col("start_date") >= F.lit("1998-01-01").cast("date"))
-    return M.insured_conform(people.where(~second), people.where(second), ["U4"])
+    return M.insured_conform(people.where(~second), people.where(second), ["U4", "U14"])
 
 
 @query("dependant_conform", "master_id:str slave_name:str slave_cert_type:long slave_cert_no:str", """
@@ -139,8 +139,8 @@ CTES["x_rates"] = "SELECT product_code, CAST(t AS DECIMAL(14,4)) AS p_tech, CAST
     f"('{c}', {a}, {b})" for c, a, b in PRODUCT_RATES) + ") v(product_code, t, b)"
 CTES["x_plan"] = """
 SELECT *, CASE WHEN tech_rate IS NOT NULL OR broker_rate IS NOT NULL THEN coalesce(tech_rate, 0) + coalesce(broker_rate, 0) END AS commission_rate FROM (
-SELECT pl.policy_id, pl.product_code, CASE WHEN pl.policy_id % 10 = 0 THEN sku_coverage * 2 ELSE sku_coverage END AS sku_coverage,
-  CASE WHEN pl.policy_id % 10 = 0 THEN NULL ELSE sku_ratio END AS sku_ratio, CASE WHEN pl.policy_id % 10 = 0 THEN sku_price + 1 ELSE sku_price END AS sku_price,
+SELECT pl.policy_id, pl.product_code, CASE WHEN sku_coverage >= 150 THEN sku_coverage * 2 ELSE sku_coverage END AS sku_coverage,
+  CASE WHEN sku_coverage >= 150 THEN NULL ELSE sku_ratio END AS sku_ratio, CASE WHEN sku_coverage >= 150 THEN sku_price + 1 ELSE sku_price END AS sku_price,
   sku_charge_type, CASE WHEN tech_rate > 0 THEN tech_rate ELSE p_tech END AS tech_rate,
   coalesce(CASE pl.product_code WHEN 'HOUSEHOLD' THEN 0.1 WHEN 'MACHINERY' THEN 0.2 END, broker_rate, p_broker) AS broker_rate
 FROM d_plan pl LEFT JOIN x_rates r ON r.product_code = pl.product_code)"""
@@ -148,7 +148,7 @@ FROM d_plan pl LEFT JOIN x_rates r ON r.product_code = pl.product_code)"""
 
 def plans(t: Tables) -> DataFrame:
     now = t.plan.withColumn("tech_rate", F.when(F.col("tech_rate") > 0, F.col("tech_rate")))
-    history = t.plan.where(F.pmod("policy_id", F.lit(10)) == 0).select(
+    history = t.plan.where("sku_coverage >= 150").select(
         "policy_id", (F.col("sku_coverage") * 2).alias("sku_coverage"), F.lit(None).cast("string").alias("sku_ratio"),
         (F.col("sku_price") + 1).alias("sku_price"), "sku_charge_type",
     )
