@@ -43,15 +43,12 @@ def money(c: Column) -> Column:
 
 
 def certificate(key: Column, area: Column) -> Column:
-    """18 digits from a key; some carry a star, some are cut to 15."""
-    full = F.concat(
-        (F.lit(110000) + area * 1000).cast("string"),
-        F.date_format(F.date_add(F.lit(date(1950, 1, 1)), F.pmod(key * 37, F.lit(18000)).cast("int")), "yyyyMMdd"),
-        F.lpad(F.pmod(key, F.lit(1000)).cast("string"), 3, "0"),
-        F.pmod(key, F.lit(10)).cast("string"),
-    )
+    """18 digits from a key, put together as one number; some carry a star, some are cut to 15."""
+    birthday = (F.pmod(key, F.lit(50)) + 1950) * 10000 + (F.pmod(key, F.lit(12)) + 1) * 100 + F.pmod(key, F.lit(28)) + 1
+    tail = F.pmod(key, F.lit(1000)) * 10 + F.pmod(key, F.lit(10))
+    full = ((F.lit(110000) + area * 1000) * F.lit(1000000000000) + birthday * 10000 + tail).cast("string")
     return (
-        F.when(F.pmod(key, F.lit(50)) == 49, F.concat(F.substring(full, 1, 14), F.lit("**"), F.substring(full, 17, 2)))
+        F.when(F.pmod(key, F.lit(50)) == 49, F.overlay(full, F.lit("**"), 15))
         .when(F.pmod(key, F.lit(70)) == 69, F.substring(full, 1, 15))
         .otherwise(full)
     )

@@ -29,16 +29,13 @@ def age_at(cert: Column, when: Column) -> Column:
 
     Anything but 18 characters with a sane birthday, a birthday later in the same year, or a null time gives 0.
     """
-    year, month, day = _number(cert, 7, 4), _number(cert, 11, 2), _number(cert, 13, 2)
-    sane = (F.length(cert) == 18) & (year >= 1919) & month.between(1, 12) & day.between(1, 31)
-    reached = (F.month(when) > month) | ((F.month(when) == month) & (F.dayofmonth(when) >= day))
-    years = F.year(when) - year
-    age = (
-        F.when(years < 0, 0)
-        .when(years == 0, F.when(reached, 1).otherwise(0))
-        .otherwise(years + F.when(reached, 1).otherwise(0))
-    )
-    return F.when(sane & when.isNotNull(), age).otherwise(0)
+    born = _number(cert, 7, 8)  # yyyyMMdd, read once
+    month, day = F.pmod(F.floor(born / 100), F.lit(100)), F.pmod(born, F.lit(100))
+    sane = (F.length(cert) == 18) & (born >= 19190000) & month.between(1, 12) & day.between(1, 31)
+    years = F.year(when) - F.floor(born / 10000)
+    reached = F.month(when) * 100 + F.dayofmonth(when) >= F.pmod(born, F.lit(10000))
+    age = F.when(years < 0, 0).otherwise(years + F.when(reached, 1).otherwise(0))
+    return F.when(sane & when.isNotNull(), age).otherwise(0).cast("int")
 
 
 def birthday(cert: Column) -> Column:

@@ -90,8 +90,8 @@ def policy_conform(one: DataFrame, two: DataFrame, as_of: date) -> DataFrame:
 def insured_conform(one: DataFrame, two: DataFrame, excluded_users: Sequence[str] = ()) -> DataFrame:
     """Insured people of both systems; names and work types keep their Chinese characters only."""
     kept = one.where(F.col("user_id").isNull() | ~F.col("user_id").isin(list(excluded_users))) if excluded_users else one
-    whole = kept.drop("user_id").unionByName(two.drop("user_id"))
-    number = clean(no_line_breaks(F.col("cert_no")))
+    # the cleaned number is a column of its own: the age reads it many times over
+    whole = kept.drop("user_id").unionByName(two.drop("user_id")).withColumn("cert_no", clean(no_line_breaks(F.col("cert_no"))))
     known = F.col("cert_type") == "1"
     return whole.select(
         "insured_id",
@@ -99,10 +99,10 @@ def insured_conform(one: DataFrame, two: DataFrame, excluded_users: Sequence[str
         clean(chinese_only(no_line_breaks(F.col("name")))).alias("insured_name"),
         clean(chinese_only(no_line_breaks(F.col("work_type")))).alias("work_type"),
         F.when(known, 1).otherwise(-1).alias("cert_type"),
-        number.alias("cert_no"),
+        "cert_no",
         clean(F.col("mobile")).alias("mobile"),
         F.when(F.col("sex") == 2, 0).when(F.col("sex") == 1, 1).alias("gender"),
-        F.when(known & F.col("start_date").isNotNull(), cert.age_at(number, F.col("start_date"))).alias("age"),
+        F.when(known & F.col("start_date").isNotNull(), cert.age_at(F.col("cert_no"), F.col("start_date"))).alias("age"),
         "start_date",
         "end_date",
     )

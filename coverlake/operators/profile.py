@@ -59,22 +59,22 @@ def people_of(*sources: DataFrame) -> DataFrame:
 
 def person_base(people: DataFrame, area: DataFrame, as_of: date) -> DataFrame:
     """What the certificate says: gender, birthday, age and its bands, home, star sign."""
-    c = F.col("cert_no")
-    age = cert.age_at(c, F.lit(as_of))
+    c, age = F.col("cert_no"), F.col("age")
     homes = F.broadcast(area.select(F.col("code").alias("home_code"), F.col("province").alias("home_province"), F.col("city").alias("home_city")))
     return (
-        people.withColumns(
+        people.withColumn("age", cert.age_at(c, F.lit(as_of)))
+        .withColumns(
             {
                 "gender": cert.profile_gender(c),
                 "birthday": F.substring(c, 7, 8),
-                "age": age,
                 "decade": cert.decade(c),
                 "age_band": cert.age_band(age),
                 "retired": cert.retired(age),
                 "home_code": cert.home_code(c),
                 "star_sign": cert.star_sign(F.substring(c, 11, 2).try_cast("int"), F.substring(c, 13, 2).try_cast("int")),
             }
-        ).join(homes, "home_code", "left")
+        )
+        .join(homes, "home_code", "left")
     )
 
 

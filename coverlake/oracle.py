@@ -13,9 +13,8 @@ def _values(rows) -> str:
 
 def cert_sql(key: str, area: str) -> str:
     full = (
-        f"(CAST(110000 + ({area}) * 1000 AS VARCHAR) || "
-        f"strftime(DATE '1950-01-01' + CAST(({key}) * 37 % 18000 AS INTEGER), '%Y%m%d') || "
-        f"lpad(CAST(({key}) % 1000 AS VARCHAR), 3, '0') || CAST(({key}) % 10 AS VARCHAR))"
+        f"CAST((110000 + ({area}) * 1000) * 1000000000000 + ((({key}) % 50 + 1950) * 10000 + (({key}) % 12 + 1) * 100 + ({key}) % 28 + 1) * 10000 "
+        f"+ (({key}) % 1000) * 10 + ({key}) % 10 AS VARCHAR)"
     )
     return (
         f"CASE WHEN ({key}) % 50 = 49 THEN substr({full}, 1, 14) || '**' || substr({full}, 17, 2) "

@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot never compiles a method of more than 8000 bytes; a wide stage runs faster as several smaller ones
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
