@@ -150,11 +150,14 @@ def earned_in_cover(cover: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def work_type_claim(work: DataFrame, claim: DataFrame, cover: DataFrame, as_of: date) -> DataFrame:
-    """Matched work types with the claims inside each cover and the premium it has earned."""
+def work_type_claim(work: DataFrame, insured: DataFrame, claim: DataFrame, cover: DataFrame, as_of: date) -> DataFrame:
+    """Matched work types with the claims inside each cover and the premium it has earned.
+
+    ``insured`` is the list ``work`` was matched from: the claims need none of the matched columns.
+    """
     keys = ["policy_id", "cert_no", "start_date"]
     return (
-        work.join(claims_in_cover(work, claim).drop("claim_cases"), keys, "left")
+        work.join(claims_in_cover(insured, claim).drop("claim_cases"), keys, "left")
         .join(earned_in_cover(cover, as_of), keys, "left")
         .select(
             *work.columns,

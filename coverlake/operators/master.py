@@ -167,7 +167,7 @@ def plan_conform(plan: DataFrame, history: DataFrame, rates: DataFrame, fixed_ra
     merged = (
         plan.distinct()
         .join(old, "policy_id", "left")
-        .join(F.broadcast(rates.select("product_code", F.col("tech_rate").alias("p_tech"), F.col("broker_rate").alias("p_broker"))), "product_code", "left")
+        .join(rates.select("product_code", F.col("tech_rate").alias("p_tech"), F.col("broker_rate").alias("p_broker")), "product_code", "left")
         .select(
             "policy_id",
             "product_code",
@@ -250,8 +250,8 @@ def city_of() -> Column:
 
 def area_lookup(area: DataFrame, prefix: str) -> DataFrame:
     """Areas by six-digit city code: ``<prefix>_code``, ``<prefix>_province``, ``<prefix>_city``."""
-    return F.broadcast(
-        area.select(F.col("code").alias(f"{prefix}_code"), F.col("province").alias(f"{prefix}_province"), city_of().alias(f"{prefix}_city"))
+    return area.select(
+        F.col("code").alias(f"{prefix}_code"), F.col("province").alias(f"{prefix}_province"), city_of().alias(f"{prefix}_city")
     )
 
 
@@ -280,7 +280,7 @@ def policy_master_wide(
     return (
         policy.where(F.col("policy_status").isin(LIVE_STATUSES))
         .select("policy_id", "policy_code", "policy_status", "start_date", "end_date", "insurer", "holder_name", "first_premium", "person_count", "product_code")
-        .join(F.broadcast(product.where(F.col("one_level") == line)), "product_code")
+        .join(product.where(F.col("one_level") == line), "product_code")
         .join(latest_region(policy), "holder_name", "left")
         .withColumn("region_city", city_code(F.col("latest_region")))
         .join(area_lookup(area, "holder"), F.col("region_city") == F.col("holder_code"), "left")
@@ -320,7 +320,7 @@ def non_employer_master(
     sports = sport_customers.where(F.col("type") == 1).select(F.col("name").alias("channel"), F.col("sales_name").alias("sport_sales"))
     return (
         policy.where(F.col("policy_status").isin(LIVE_STATUSES))
-        .join(F.broadcast(product.where(~F.col("business_line").isin(list(excluded_lines)))), "product_code")
+        .join(product.where(~F.col("business_line").isin(list(excluded_lines))), "product_code")
         .join(sports, "channel", "left")
         .withColumn("sales_name", F.coalesce(F.col("policy_sales"), rule))
         .join(teams, "sales_name", "left")
@@ -333,7 +333,7 @@ def non_employer_master(
 def holder_summary(policy: DataFrame, area: DataFrame, sales: DataFrame, team: DataFrame, product: DataFrame, lines: Sequence[str]) -> DataFrame:
     """Per holder, its latest region and insurer: the holder's latest start with that insurer's list, and its sales team."""
     chosen = policy.where(F.col("policy_status").isin(LIVE_STATUSES)).join(
-        F.broadcast(product.where(F.col("two_level").isin(list(lines))).select("product_code")), "product_code", "left_semi"
+        product.where(F.col("two_level").isin(list(lines))).select("product_code"), "product_code", "left_semi"
     )
     newest = chosen.groupBy("holder_name").agg(
         F.max_by("region_code", F.when(F.col("region_code").isNotNull(), F.struct("start_date", "policy_id"))).alias("region_code"),
@@ -367,18 +367,19 @@ def salesman_assignment(proposal: DataFrame, stored: DataFrame, operators: DataF
     known = (
         stored.withColumn("key", channel)
         .groupBy("key")
-        .agg(F.min(F.struct("salesman", "biz_operator")).alias("k"))
-        .select("key", F.col("k.salesman").alias("stored_salesman"), F.col("k.biz_operator").alias("stored_operator"))
+        .agg(F.min_by(F.struct("salesman", "biz_operator"), F.struct(F.col("salesman").isNull(), "salesman", "biz_operator")).alias("k"))
+        .select("key", F.lit(True).alias("known"), "k.*")
+        .withColumnsRenamed({"salesman": "stored_salesman", "biz_operator": "stored_operator"})
     )
     return (
         named.join(stored.select("ent_id"), "ent_id", "left_anti")
-        .join(F.broadcast(operators), "province", "left")
+        .join(operators, "province", "left")
         .withColumn("key", channel)
         .join(known, "key", "left")
         .select(
             "ent_id", "ent_name", "channel_id", "channel_name",
-            F.coalesce("stored_salesman", "salesman").alias("salesman"),
-            F.coalesce("stored_operator", "biz_operator").alias("biz_operator"),
+            F.when(F.col("known"), F.col("stored_salesman")).otherwise(F.col("salesman")).alias("salesman"),
+            F.when(F.col("known"), F.col("stored_operator")).otherwise(F.col("biz_operator")).alias("biz_operator"),
         )
     )
 
@@ -395,13 +396,13 @@ def paid_instalments(instalment: DataFrame, policy: DataFrame, person: DataFrame
 
 def proposal_person_risk(proposal: DataFrame, person: DataFrame, work_grade: DataFrame, work_match: DataFrame, work_risk: DataFrame) -> DataFrame:
     """People on proposals with the grade of the plan and the risk class of their work."""
-    risk = F.broadcast(
-        work_risk.select(F.col("bzn_work_name").alias("work_name_check"), F.col("bzn_work_risk").alias("work_risk"), F.substring("gs_work_risk", 1, 1).alias("gs_first"))
+    risk = work_risk.select(
+        F.col("bzn_work_name").alias("work_name_check"), F.col("bzn_work_risk").alias("work_risk"), F.substring("gs_work_risk", 1, 1).alias("gs_first")
     )
     return (
         proposal.join(person, "policy_id")
         .join(work_grade.select("policy_id", "profession_type"), "policy_id", "left")
-        .join(F.broadcast(work_match), F.col("work_type") == F.col("primitive_work"), "left")
+        .join(work_match, F.col("work_type") == F.col("primitive_work"), "left")
         .join(risk, "work_name_check", "left")
     )
 
@@ -426,7 +427,7 @@ def insured_location(policy: DataFrame, insured: DataFrame, area: DataFrame, pro
     sellers = sales.select(F.col("ent_name").alias("holder_name"), channel.alias("channel_name"))
     master = (
         policy.where(F.col("policy_status").isin(LIVE_STATUSES))
-        .join(F.broadcast(product.where(F.col("one_level") == line).select("product_code")), "product_code", "left_semi")
+        .join(product.where(F.col("one_level") == line).select("product_code"), "product_code", "left_semi")
         .select("policy_id", "holder_name")
         .join(holder.select("holder_name", "holder_province", "holder_city"), "holder_name", "left")
         .join(sellers, "holder_name", "left")
@@ -456,7 +457,7 @@ def sports_policies(policy: DataFrame, product: DataFrame, customers: DataFrame)
     return (
         policy.where(F.col("policy_status").isin(LIVE_STATUSES) & F.col("insurer").isNotNull())
         .where(F.col("created").isNotNull() | F.col("start_date").isNotNull())
-        .join(F.broadcast(product.where(F.col("business_line") == SPORT_LINE).select("product_code", "product_name")), "product_code")
+        .join(product.where(F.col("business_line") == SPORT_LINE).select("product_code", "product_name"), "product_code")
         .join(dims, "channel", "left")
         .select(
             "policy_id", "policy_code", "holder_name", "channel", "product_name", kind.alias("policy_type"),

@@ -88,7 +88,7 @@ def ledger_enrich(
         .join(sellers, F.col("holder_name") == F.col("ent_name"), "left")
         .drop("ent_name")
         .distinct()
-        .join(F.broadcast(product), "product_code", "left")
+        .join(product, "product_code", "left")
     )
 
 
@@ -330,7 +330,7 @@ def supplement_premium(work: DataFrame, policy: DataFrame, reference_price: Data
         (F.col("work_class") > F.col("grade_high")) & (F.col("reference") > F.col("price")), F.col("reference") - F.col("price")
     ).otherwise(0)
     annual = F.when(F.col("charge_type") == ANNUAL, F.col("avg_price") * 12).otherwise(F.col("avg_price"))
-    cover = clamped_cover(work, policy).join(F.broadcast(reference_price), "work_class", "left")
+    cover = clamped_cover(work, policy).join(reference_price, "work_class", "left")
     priced = day_prices(
         cover.withColumn("reference", annual.cast(MONEY)).withColumn("shortfall", shortfall.cast(MONEY)), "shortfall"
     )

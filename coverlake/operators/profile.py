@@ -60,7 +60,7 @@ def people_of(*sources: DataFrame) -> DataFrame:
 def person_base(people: DataFrame, area: DataFrame, as_of: date) -> DataFrame:
     """What the certificate says: gender, birthday, age and its bands, home, star sign."""
     c, age = F.col("cert_no"), F.col("age")
-    homes = F.broadcast(area.select(F.col("code").alias("home_code"), F.col("province").alias("home_province"), F.col("city").alias("home_city")))
+    homes = area.select(F.col("code").alias("home_code"), F.col("province").alias("home_province"), F.col("city").alias("home_city"))
     return (
         people.withColumn("age", cert.age_at(c, F.lit(as_of)))
         .withColumns(
@@ -98,7 +98,7 @@ def sport_of(product_name: Column) -> Column:
 
 def person_habits(covers: DataFrame, product: DataFrame) -> DataFrame:
     """Number of covers per person and sport. ``covers`` has cert_no and product_code."""
-    sports = F.broadcast(product.select("product_code", sport_of(F.col("product_name")).alias("sport")).where("sport is not null"))
+    sports = product.select("product_code", sport_of(F.col("product_name")).alias("sport")).where("sport is not null")
     return full_certs(covers).join(sports, "product_code").groupBy("cert_no", "sport").agg(F.count(F.lit(1)).alias("covers"))
 
 
@@ -339,7 +339,7 @@ def product_interest(covers: DataFrame, product: DataFrame, names: InterestProdu
     yes = F.lit("是")
     frequent = F.sum(F.when(d.contains(names.frequent), F.col("n")))
     return (
-        pairs.join(F.broadcast(product.select("product_code", "product_name")), "product_code", "left")
+        pairs.join(product.select("product_code", "product_name"), "product_code", "left")
         .groupBy("cert_no")
         .agg(
             F.max(F.when(d == names.cosmetics, yes)).alias("cosmetics"),

@@ -57,7 +57,7 @@ def _fees(premium: Column) -> dict[str, Column]:
 
 def _accounts(rows: DataFrame, sellers: DataFrame, plan: DataFrame, product: DataFrame, lines: Sequence[str]) -> DataFrame:
     """Rows of the chosen product lines with plan, seller and product."""
-    chosen = F.broadcast(product.where(F.col("two_level").isin(list(lines))).select("product_code", "product_name", "two_level"))
+    chosen = product.where(F.col("two_level").isin(list(lines))).select("product_code", "product_name", "two_level")
     return (
         rows.where(F.col("policy_status").isin(LIVE_STATUSES))
         .join(chosen, "product_code")
@@ -171,7 +171,7 @@ def all_channels_ledger(
     People come from the endorsement where there is one, else from the policy. Employer-line channels carry the dates of
     their first, sixth and twelfth month.
     """
-    places = F.broadcast(area.select(F.col("code").alias("city_code"), "province", F.col("city").alias("city")))
+    places = area.select(F.col("code").alias("city_code"), "province", F.col("city").alias("city"))
     master = policy.select("policy_code", "person_count", F.concat(F.substring("region_code", 1, 4), F.lit("00")).alias("city_code")).join(
         places, "city_code", "left"
     )

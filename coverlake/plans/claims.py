@@ -71,7 +71,7 @@ def listed_cover(t: Tables) -> DataFrame:
 
 
 def work_claim(t: Tables) -> DataFrame:
-    return C.work_type_claim(work(t), t.claim, listed_cover(t), AS_OF)
+    return C.work_type_claim(work(t), t.insured, t.claim, listed_cover(t), AS_OF)
 
 
 @query("claim_conform", "case_no:str policy_id:long risk_cert_no:str case_status:str case_type:str risk_day:str payable:double settled:double "

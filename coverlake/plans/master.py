@@ -323,7 +323,8 @@ p AS (SELECT DISTINCT c.holder_name, c.province, s.salesman, CASE WHEN s.channel
   FROM d_policy c JOIN d_sales s ON s.ent_name = c.holder_name),
 n AS (SELECT md5(holder_name) AS ent_id, holder_name AS ent_name, CASE WHEN ch = '直客' THEN md5(holder_name) ELSE md5(ch) END AS channel_id, ch AS channel_name, salesman, province,
   CASE WHEN ch = '直客' THEN holder_name ELSE ch END AS k FROM p WHERE md5(holder_name) NOT IN (SELECT ent_id FROM stored))
-SELECT ent_id, ent_name, channel_id, channel_name, coalesce(v[1], n.salesman) AS salesman, coalesce(v[2], 'BY-' || province) AS biz_operator
+SELECT ent_id, ent_name, channel_id, channel_name, CASE WHEN known.k IS NOT NULL THEN v[1] ELSE n.salesman END AS salesman,
+  CASE WHEN known.k IS NOT NULL THEN v[2] ELSE 'BY-' || province END AS biz_operator
 FROM n LEFT JOIN known ON known.k = n.k""")
 def salesman_assignment(t: Tables) -> DataFrame:
     proposal = t.policy.select("holder_name", "province").join(
