@@ -6,12 +6,13 @@ row per person and day. :func:`timeline.explode_days` turns runs into days where
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coverlake.operators.timeline import explode_days, levels, merge_intervals
+from coverlake.operators.timeline import deltas, explode_days, levels, merge_intervals, runs
 
 MONEY = "decimal(14,4)"
 
@@ -270,27 +271,55 @@ def product_day_premium(ledger: DataFrame, statistics: DataFrame) -> DataFrame:
     return own.unionByName(partner)
 
 
-def insured_premium_runs(cover: DataFrame, policy: DataFrame) -> DataFrame:
-    """Head-count and premium side by side per policy day, as runs; premium is null on days nobody is priced.
+def exposure_changes(cover: DataFrame, keys: Sequence[str], person: str = "cert_no") -> DataFrame:
+    """People, premium and expiring premium as changes per day, from one pass over the covers.
 
-    Both measures ride on one set of day deltas, which saves the join on (policy, day).
+    Covers shrink to one row per (policy, person, first day, last day). In a person's order of covers, one that starts a
+    day or more after everything before it has ended opens a new stay: it counts the person in, and the stay before it
+    out. Returns keys, ``day``, ``people``, ``premium``, ``priced`` (covers with a price) and ``expired``, the premium of the
+    covers booked on the policy's end day. ``keys`` are columns the policy determines.
     """
-    none = F.lit(0).cast(MONEY)
-    head = distinct_cover(cover).select("policy_id", "start", "end", F.lit(1).alias("n"), none.alias("p"), F.lit(0).alias("priced"))
-    price = day_prices(cover).select(
-        "policy_id", F.col("cover_start").alias("start"), F.col("cover_end").alias("end"), F.lit(0).alias("n"),
-        zero_money(F.col("day_price")).alias("p"), F.lit(1).alias("priced"),
-    )
-    period = policy.select(
-        "policy_id", F.col("start_date").alias("start"), F.col("end_date").alias("end"), F.lit(0).alias("n"),
-        none.alias("p"), F.lit(0).alias("priced"),
+    group = list(dict.fromkeys(["policy_id", *keys, "policy_end"]))
+    spans = day_prices(cover).groupBy(*group, person, "cover_start", "cover_end").agg(
+        F.sum(zero_money(F.col("day_price"))).alias("price"), F.count(F.lit(1)).alias("covers")
     )
-    runs = levels(
-        head.unionByName(price).unionByName(period), ["policy_id"], "start", "end",
-        {"head_count": F.col("n"), "premium": F.col("p"), "priced": F.col("priced")},
+    in_order = Window.partitionBy(*group, person).orderBy("cover_start", "cover_end")
+    reach = F.max("cover_end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    seen = spans.withColumns({"reach": reach, "next_start": F.lead("cover_start").over(in_order)})
+    known = F.col(person).isNotNull()
+    opens = known & (F.col("reach").isNull() | (F.col("cover_start") > F.date_add("reach", 1)))
+    closes_before = opens & F.col("reach").isNotNull()
+    closes = known & F.col("next_start").isNull()
+    days = F.datediff("cover_end", "cover_start") + 1
+    none, money = F.lit(0), F.lit(0).cast("decimal(24,4)")
+
+    def change(day: Column, people: Column = none, premium: Column = money, priced: Column = none, expired: Column = money) -> Column:
+        return F.struct(
+            day.alias("day"), people.cast("int").alias("people"), premium.cast("decimal(24,4)").alias("premium"),
+            priced.cast("bigint").alias("priced"), expired.cast("decimal(24,4)").alias("expired"),
+        )
+
+    changes = F.array(
+        change(F.col("cover_start"), opens, F.col("price"), F.col("covers")),
+        change(F.date_add("cover_end", 1), none, -F.col("price"), -F.col("covers")),
+        change(F.col("policy_end"), expired=F.col("price") * days),
+        F.when(closes_before, change(F.date_add("reach", 1), F.lit(-1))),
+        F.when(closes, change(F.date_add(F.greatest("reach", "cover_end"), 1), F.lit(-1))),
     )
-    return runs.select(
-        "policy_id", "from_day", "to_day", "head_count", F.when(F.col("priced") > 0, F.col("premium")).alias("premium")
+    return seen.select(*keys, F.inline(F.array_compact(changes)))
+
+
+def insured_premium_runs(cover: DataFrame, policy: DataFrame) -> DataFrame:
+    """Head-count and premium side by side per policy day, as runs; premium is null on days nobody is priced.
+
+    Both measures ride on one set of day changes, which saves the join on (policy, day).
+    """
+    measures = ["people", "premium", "priced"]
+    covered = exposure_changes(cover, ["policy_id"]).drop("expired").withColumn("active", F.lit(0))
+    period = deltas(policy, ["policy_id"], "start_date", "end_date", {m: F.lit(0) for m in measures})
+    levelled = runs(covered.unionByName(period), ["policy_id"], measures)
+    return levelled.select(
+        "policy_id", "from_day", "to_day", F.col("people").alias("head_count"), F.when(F.col("priced") > 0, F.col("premium")).alias("premium")
     )
 
 
@@ -304,8 +333,8 @@ def headcount_by(cover: DataFrame, policy: DataFrame, keys: list[str], as_of: da
 def peak_and_cumulative_headcount(cover: DataFrame, policy: DataFrame, as_of: date) -> DataFrame:
     """Per holder: peak daily head-count, its channel's peak, person-days so far and earned premium so far."""
     def summary(key: str, peak: str) -> DataFrame:
-        runs = headcount_by(cover, policy, [key], as_of)
-        return runs.groupBy(key).agg(
+        counted = headcount_by(cover, policy, [key], as_of)
+        return counted.groupBy(key).agg(
             F.max("head_count").alias(peak),
             F.sum(F.col("head_count") * (F.datediff("to_day", "from_day") + 1)).alias(f"{peak}_days"),
         )

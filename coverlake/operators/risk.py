@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlake.operators.claims import SETTLED
-from coverlake.operators.premium import ANNUAL, day_prices, distinct_cover, zero_money
-from coverlake.operators.timeline import explode_days, levels
+from coverlake.operators.premium import ANNUAL, day_prices, distinct_cover, exposure_changes, zero_money
+from coverlake.operators.timeline import deltas, explode_days, levels, runs
 
 MONEY = "decimal(14,4)"
 GROUP = ("channel", "insurer", "charge_type")
@@ -26,52 +26,50 @@ def risk_monitor(
     """Exposure, premium, claims and expiry by (channel, insurer, charge type, day) with running totals.
 
     ``cover`` carries the group columns. A policy contributes from its first day to its end, and with zeros on to today.
-    Movements and claims count on days inside the policy period. Levels come from day deltas summed per group, flows from
-    partial aggregates; the only rows per day are those of the result.
+    Movements and claims count on days inside the policy period. Levels and flows are changes on one day axis: they are
+    summed per group and day once, and the only rows per day are those of the result.
     """
     keys = list(GROUP)
     period = policy.where(F.col("channel").isNotNull()).select(
         "policy_id", *keys, "start_date", F.coalesce("end_date", "start_date").alias("end_date")
     )
-    zero, none = F.lit(0), F.lit(0).cast(MONEY)
-    known = period.select(
-        *keys, F.col("start_date").alias("s"), F.greatest("end_date", F.lit(as_of)).alias("e"), zero.alias("n"), none.alias("p")
-    )
-    inside = cover.where(F.col("channel").isNotNull())
-    people = distinct_cover(inside, carry=GROUP).select(*keys, F.col("start").alias("s"), F.col("end").alias("e"), F.lit(1).alias("n"), none.alias("p"))
-    priced = day_prices(inside)
-    prices = priced.select(*keys, F.col("cover_start").alias("s"), F.col("cover_end").alias("e"), zero.alias("n"), zero_money(F.col("day_price")).alias("p"))
-    level = levels(
-        known.unionByName(people).unionByName(prices), keys, "s", "e", {"head_count": F.col("n"), "earned_premium": F.col("p")}
-    )
-    days = explode_days(level.drop("active"), "from_day", "to_day").drop("from_day", "to_day")
-
-    def flow(df: DataFrame, day: str, **measures: Column) -> DataFrame:
-        typed = {m: measures.get(m, zero if m == "cases" else none) for m in FLOWS}
-        return df.select(*keys, F.col(day).alias("day"), *[c.cast("bigint" if m == "cases" else "decimal(24,4)").alias(m) for m, c in typed.items()])
+    money = "decimal(24,4)"
+    types = {"head_count": "bigint", "earned_premium": money, **{m: "bigint" if m == "cases" else money for m in FLOWS}}
+
+    def changes(df: DataFrame, **measures: Column) -> DataFrame:
+        """Rows of (keys, day, active, measures), zero where nothing is given."""
+        given = {"active": F.lit(0), **measures}
+        return df.select(
+            *keys, "day", given["active"].alias("active"), *[given.get(m, F.lit(0)).cast(t).alias(m) for m, t in types.items()]
+        )
 
     def in_period(df: DataFrame, day: str) -> DataFrame:
         return df.join(period, "policy_id").where(F.col(day).between(F.col("start_date"), F.col("end_date")))
 
+    known = deltas(period.withColumn("until", F.greatest("end_date", F.lit(as_of))), keys, "start_date", "until", {})
+    exposed = exposure_changes(cover.where(F.col("channel").isNotNull()), keys)
     moved = in_period(ledger.select("policy_id", "day", "sum_premium"), "day")
     claimed = in_period(claim.select("policy_id", "risk_day", "payable", "case_status"), "risk_day")
-    covered_days = F.datediff("cover_end", "cover_start") + 1
-    flows = (
-        flow(moved, "day", ledger_premium=F.coalesce("sum_premium", none))
-        .unionByName(
-            flow(
-                claimed, "risk_day", cases=F.lit(1), payable=F.col("payable"),
-                settled=F.when(F.col("case_status") == SETTLED, F.col("payable")).otherwise(none),
+    settled = F.when(F.col("case_status") == SETTLED, F.col("payable")).otherwise(0)
+    booked = claimed.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.col("risk_day").alias("day"), F.lit(1).alias("n"), F.col("payable").alias("paid"), settled.alias("done"), F.lit(0).cast(MONEY).alias("due")),
+                F.struct(F.col("end_date").alias("day"), F.lit(0).alias("n"), F.lit(0).cast(MONEY).alias("paid"), F.lit(0).cast(MONEY).alias("done"), F.col("payable").alias("due")),
             )
-        )
-        .unionByName(flow(claimed, "end_date", expired_claims=F.col("payable")))
-        .unionByName(flow(priced, "policy_end", expired_premium=F.col("day_price") * covered_days))
-        .groupBy(*keys, "day")
-        .agg(*[F.sum(m).alias(m) for m in FLOWS])
+        ),
+    )
+    whole = (
+        changes(known, active=F.col("active"))
+        .unionByName(changes(exposed, head_count=F.col("people"), earned_premium=F.col("premium"), expired_premium=F.col("expired")))
+        .unionByName(changes(moved, ledger_premium=F.coalesce("sum_premium", F.lit(0))))
+        .unionByName(changes(booked, cases=F.col("n"), payable=F.col("paid"), settled=F.col("done"), expired_claims=F.col("due")))
     )
+    days = explode_days(runs(whole, keys, LEVELS, FLOWS), "from_day", "to_day")
     upto = Window.partitionBy(*keys).orderBy("day")
-    filled = days.join(flows, [*keys, "day"], "left").select(
-        *keys, "day", *LEVELS, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in FLOWS]
+    filled = days.select(
+        *keys, "day", *LEVELS, *[F.when(F.col("day") == F.col("from_day"), F.col(m)).otherwise(0).alias(m) for m in FLOWS]
     )
     running = filled.select("*", *[F.sum(m).over(upto).alias(f"acc_{m}") for m in [*LEVELS, *FLOWS]])
     labels = F.broadcast(

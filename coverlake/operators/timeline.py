@@ -33,34 +33,43 @@ def explode_months(df: DataFrame, start: str, end: str, month: str = "month") ->
     return df.withColumn(month, F.explode(months))
 
 
-def levels(df: DataFrame, keys: Sequence[str], start: str, end: str, measures: dict[str, Column]) -> DataFrame:
-    """Sum of ``measures`` over the intervals open on each day, as runs of days with one level.
+def deltas(df: DataFrame, keys: Sequence[str], start: str, end: str, measures: dict[str, Column]) -> DataFrame:
+    """What each interval adds on its first day and takes back after its last, from one pass over the intervals.
 
-    Equal to exploding each interval into days and summing by (keys, day), at two rows per interval instead of one per
-    day. Returns keys, ``from_day``, ``to_day``, the measures and ``active`` (number of open intervals); days without an
+    Returns keys, ``day``, ``active`` (plus or minus one) and the measures.
+    """
+    first = F.struct(F.col(start).alias("day"), F.lit(1).alias("active"), *[c.alias(m) for m, c in measures.items()])
+    after = F.struct(F.date_add(F.col(end), 1).alias("day"), F.lit(-1).alias("active"), *[(-c).alias(m) for m, c in measures.items()])
+    return df.where(F.col(start) <= F.col(end)).select(*keys, F.inline(F.array(first, after)))
+
+
+def runs(changes: DataFrame, keys: Sequence[str], names: Sequence[str], flows: Sequence[str] = ()) -> DataFrame:
+    """Levels between the days on which something changes.
+
+    ``changes`` has keys, ``day``, ``active``, the named measures and flows. Returns keys, ``from_day``, ``to_day``,
+    ``active`` (open intervals), the running sums of the measures, and each flow as it fell on ``from_day``. Days without an
     open interval give no row.
     """
-    live = df.where(F.col(start) <= F.col(end))
-    opens = live.select(*keys, F.col(start).alias("day"), F.lit(1).alias("active"), *[c.alias(m) for m, c in measures.items()])
-    closes = live.select(
-        *keys,
-        F.date_add(F.col(end), 1).alias("day"),
-        F.lit(-1).alias("active"),
-        *[(-c).alias(m) for m, c in measures.items()],
-    )
-    names = ["active", *measures]
-    deltas = opens.unionByName(closes).groupBy(*keys, "day").agg(*[F.sum(m).alias(m) for m in names])
+    levelled = ["active", *names]
+    per_day = changes.groupBy(*keys, "day").agg(*[F.sum(m).alias(m) for m in [*levelled, *flows]])
     by_day = Window.partitionBy(*keys).orderBy("day")
     running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        deltas.select(
-            *keys,
-            F.col("day").alias("from_day"),
-            F.date_sub(F.lead("day").over(by_day), 1).alias("to_day"),
-            *[F.sum(m).over(running).alias(m) for m in names],
-        )
-        .where(F.col("active") > 0)
-    )
+    return per_day.select(
+        *keys,
+        F.col("day").alias("from_day"),
+        F.date_sub(F.lead("day").over(by_day), 1).alias("to_day"),
+        *[F.sum(m).over(running).alias(m) for m in levelled],
+        *flows,
+    ).where(F.col("active") > 0)
+
+
+def levels(df: DataFrame, keys: Sequence[str], start: str, end: str, measures: dict[str, Column]) -> DataFrame:
+    """Sum of ``measures`` over the intervals open on each day, as runs of days with one level.
+
+    Equal to exploding each interval into days and summing by (keys, day), at two rows per interval instead of one per
+    day.
+    """
+    return runs(deltas(df, keys, start, end, measures), keys, list(measures))
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
