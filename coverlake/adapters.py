@@ -282,7 +282,7 @@ class Tables:
     @cached_property
     def work_risk(self) -> DataFrame:
         rows = [(n, r, g) for n, (r, g) in WORK_RISK.items()]
-        return literal_table(self.spark, ["bzn_work_name", "bzn_work_risk", "gs_work_risk"], rows)
+        return literal_table(self.spark, ["standard_work_name", "standard_work_risk", "gs_work_risk"], rows)
 
     @cached_property
     def work_grade(self) -> DataFrame:

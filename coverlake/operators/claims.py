@@ -77,8 +77,8 @@ def standard_risk(work_risk: DataFrame) -> DataFrame:
     gs = F.when(F.col("gs_work_risk") == "", -1).when(first == "S", 0).otherwise(first.try_cast("int"))
     return (
         work_risk.where(F.col("gs_work_risk").isNotNull())
-        .groupBy(F.col("bzn_work_name").alias("work_name_check"))
-        .agg(F.min("bzn_work_risk").alias("work_risk"), F.min(gs).alias("gs_work_risk"))
+        .groupBy(F.col("standard_work_name").alias("work_name_check"))
+        .agg(F.min("standard_work_risk").alias("work_risk"), F.min(gs).alias("gs_work_risk"))
     )
 
 

@@ -397,7 +397,7 @@ def paid_instalments(instalment: DataFrame, policy: DataFrame, person: DataFrame
 def proposal_person_risk(proposal: DataFrame, person: DataFrame, work_grade: DataFrame, work_match: DataFrame, work_risk: DataFrame) -> DataFrame:
     """People on proposals with the grade of the plan and the risk class of their work."""
     risk = work_risk.select(
-        F.col("bzn_work_name").alias("work_name_check"), F.col("bzn_work_risk").alias("work_risk"), F.substring("gs_work_risk", 1, 1).alias("gs_first")
+        F.col("standard_work_name").alias("work_name_check"), F.col("standard_work_risk").alias("work_risk"), F.substring("gs_work_risk", 1, 1).alias("gs_first")
     )
     return (
         proposal.join(person, "policy_id")

@@ -130,7 +130,7 @@ def endorsement_state() -> Column:
     return F.when(F.col("status") == 1, 1).when(F.col("status") == 3, 2).when(F.col("status") == 7, 5).otherwise(8)
 
 
-def pipeline_open_items(
+def open_items(
     proposal: DataFrame, issued_policy: DataFrame, change: DataFrame, issued_endorsement: DataFrame, as_of: date, days: int = 5
 ) -> DataFrame:
     """Proposals and endorsements of the last days that are not in the issued tables yet."""

@@ -145,7 +145,7 @@ SELECT policy_id, product_code, price AS sku_price, CAST(person_count * 10 AS DE
   CASE WHEN policy_id % 11 = 0 THEN NULL ELSE CAST((policy_id % 13) * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(14,4)) END AS broker_rate
 FROM d_policy""",
     "d_work_match": f"SELECT * FROM (VALUES {_values(WORK_NAMES.items())}) t(primitive_work, work_name_check)",
-    "d_work_risk": f"SELECT * FROM (VALUES {_values([(n, r, g) for n, (r, g) in WORK_RISK.items()])}) t(bzn_work_name, bzn_work_risk, gs_work_risk)",
+    "d_work_risk": f"SELECT * FROM (VALUES {_values([(n, r, g) for n, (r, g) in WORK_RISK.items()])}) t(standard_work_name, standard_work_risk, gs_work_risk)",
     "d_work_grade": """
 SELECT o_orderkey AS policy_id, CASE o_orderkey % 4 WHEN 0 THEN '1-3类' WHEN 1 THEN '1-4类' WHEN 2 THEN '5类' ELSE '' END AS profession_type
 FROM orders""",

@@ -19,7 +19,7 @@ SELECT policy_id, profession_type,
        ELSE CAST(substr(profession_type, 1, 1) AS INTEGER) END AS grade_high
 FROM d_work_grade"""
 CTES["x_standard_risk"] = """
-SELECT bzn_work_name AS work_name_check, min(bzn_work_risk) AS work_risk,
+SELECT standard_work_name AS work_name_check, min(standard_work_risk) AS work_risk,
   min(CASE WHEN gs_work_risk = '' THEN -1 WHEN split_part(gs_work_risk, '|', 1) = 'S' THEN 0
            ELSE CAST(split_part(gs_work_risk, '|', 1) AS INTEGER) END) AS gs_work_risk
 FROM d_work_risk GROUP BY 1"""

@@ -174,6 +174,6 @@ def backup_copy(t: Tables) -> DataFrame:
 SELECT 'policy' AS "table", count(*) AS rows, 1 AS status FROM d_policy UNION ALL SELECT 'insured', count(*), 1 FROM d_insured
 UNION ALL SELECT 'claim', count(*), 1 FROM d_claim UNION ALL SELECT 'endorsement', count(*), 1 FROM d_endorsement""")
 def job_status_log(t: Tables) -> DataFrame:
-    old = Q.status_log([("policy", t.policy), ("claim", t.claim)])
-    new = Q.status_log([("insured", t.insured), ("claim", t.claim), ("endorsement", t.endorsement)])
-    return I.keyed_merge(old, new, ["table"])
+    old = Q.status_log([("policy", t.policy), ("claim", t.claim)]).withColumn("version", F.lit(1))
+    new = Q.status_log([("insured", t.insured), ("claim", t.claim), ("endorsement", t.endorsement)]).withColumn("version", F.lit(2))
+    return I.shard_union([old, new], "table", "version")

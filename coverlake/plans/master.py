@@ -367,9 +367,9 @@ def health_renewals(t: Tables) -> DataFrame:
 
 
 @query("proposal_person_risk", "insured_id:str policy_id:long holder_name:str work_type:str profession_type:str work_name_check:str work_risk:str gs_first:str", """
-SELECT i.insured_id, i.policy_id, holder_name, work_type, profession_type, m.work_name_check, bzn_work_risk AS work_risk, substr(gs_work_risk, 1, 1) AS gs_first
+SELECT i.insured_id, i.policy_id, holder_name, work_type, profession_type, m.work_name_check, standard_work_risk AS work_risk, substr(gs_work_risk, 1, 1) AS gs_first
 FROM d_policy p JOIN d_insured_work i ON i.policy_id = p.policy_id LEFT JOIN d_work_grade g ON g.policy_id = p.policy_id
-LEFT JOIN d_work_match m ON m.primitive_work = work_type LEFT JOIN d_work_risk r ON r.bzn_work_name = m.work_name_check""")
+LEFT JOIN d_work_match m ON m.primitive_work = work_type LEFT JOIN d_work_risk r ON r.standard_work_name = m.work_name_check""")
 def proposal_person_risk(t: Tables) -> DataFrame:
     return M.proposal_person_risk(t.policy.select("policy_id", "holder_name"), t.insured_work, t.work_grade, t.work_match, t.work_risk)
 

@@ -99,11 +99,11 @@ def open_items(t: Tables) -> DataFrame:
         F.col("add_person_count").alias("people"), F.element_at(states, (F.pmod(i, F.lit(4)) + 1).cast("int")).alias("status"),
     )
     done = t.endorsement.where("preserve_status = 1").select(F.col("preserve_id").alias("order_no"))
-    return R.pipeline_open_items(proposal, t.policy.where("policy_status = 1"), change, done, AS_OF)
+    return R.open_items(proposal, t.policy.where("policy_status = 1"), change, done, AS_OF)
 
 
-@query("pipeline_open_items", "policy_code:str order_no:str holder_name:str state:long created:str people:long", "SELECT * FROM x_open_items")
-def pipeline_open_items(t: Tables) -> DataFrame:
+@query("open_items", "policy_code:str order_no:str holder_name:str state:long created:str people:long", "SELECT * FROM x_open_items")
+def open_items_query(t: Tables) -> DataFrame:
     return open_items(t)
 
 

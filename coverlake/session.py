@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -14,7 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot never compiles a method of more than 8000 bytes; a wide stage runs faster as several smaller ones
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -43,6 +43,11 @@ def local_session(app: str = "coverlake", cores: str = "*", shuffle_partitions:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="coverlake-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -54,6 +59,4 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    path = tempfile.mkdtemp(prefix="coverlake-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return _local_folder()

@@ -32,7 +32,7 @@ def test_grades(rows):
 
 
 def test_standard_risk_reads_the_part_before_the_bar(rows):
-    risk = rows("bzn_work_name string, bzn_work_risk string, gs_work_risk string", [
+    risk = rows("standard_work_name string, standard_work_risk string, gs_work_risk string", [
         ("a", "3", "12|3"), ("a", "2", "S|1"), ("b", "1", ""), ("c", "1", None)])
     got = {r.work_name_check: (r.work_risk, r.gs_work_risk) for r in C.standard_risk(risk).collect()}
     assert got == {"a": ("2", 0), "b": ("1", -1)}

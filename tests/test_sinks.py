@@ -1,5 +1,7 @@
 from datetime import date
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from coverlake.session import shared_dir
@@ -49,10 +51,12 @@ def test_month_predicates_lose_no_row():
     assert len(got) == 3 and got[-1] == "t is null"
 
 
-def test_shared_folder_is_read_from_the_session(spark):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/tmp/somewhere/")
-    assert shared_dir(spark) == "/tmp/somewhere"
-    spark.conf.unset("spark.checkpoint.dir")
-    if old:
-        spark.conf.set("spark.checkpoint.dir", old)
+def session(folder, master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder_is_read_from_the_session():
+    assert shared_dir(session("/shared/x/", "yarn")) == "/shared/x"
+    assert shared_dir(session(None, "local[4]")) == shared_dir(session(None, "local[4]"))
+    with pytest.raises(RuntimeError):
+        shared_dir(session(None, "yarn"))
