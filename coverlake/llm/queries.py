@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from coverlake.llm import bpe
 from coverlake.llm.common import table
 from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.simhash import simhash_groups
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_bpe(spark, folder):
+    coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), VOCABULARY), VOCABULARY, "doc_id")
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op3_simhash_near_dedup(spark, folder):
     return simhash_groups(table(spark, folder, "documents"), shingle=3, distance=2)
 
@@ -16,7 +33,7 @@ def op8_exact_dedup(spark, folder):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op8_exact_dedup)}
 
 SQL = {
     "op8_exact_dedup": r"""
