@@ -19,6 +19,7 @@ row, repeated rows too; an empty table gives an empty result; further columns ar
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import cache, lru_cache
 from heapq import heapify, heappop, heappush
@@ -37,8 +38,11 @@ PATTERN = (
 )
 LEAF = 256
 HUGE = 1 << 22
-#: Pre-tokens whose tokens a worker remembers; it starts afresh beyond, which changes no result.
-REMEMBERED = 200_000
+#: Chunks whose tokens a worker remembers; it starts afresh beyond, which changes no result.
+REMEMBERED = 400_000
+#: Lengths in bytes up to which pre-tokens are merged side by side, and how many at a time.
+WIDTHS = (8, 16, 32, 64)
+_MERGED = 20_000
 _ROWS = 512
 _NONE = 1 << 60
 
@@ -70,7 +74,11 @@ class Vocabulary:
             self.merges[ids[a], ids[b]] = rank, ids[a + b]
         self.pattern = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.remembered = Remembered(self)
+        self.known: dict[str, bytes] = {}
+        self._byte_ids = np.array(self.bytes, np.int64)
+        pairs = sorted((a << 32 | b, rank, made) for (a, b), (rank, made) in self.merges.items())
+        self._keys, self._ranks, self._made = (np.array([p[k] for p in pairs] + [last], np.int64) for k, last in ((0, -1), (1, _NONE), (2, 0)))
+        self._keys[-1] = np.iinfo(np.int64).max
 
     # -- merging
 
@@ -130,23 +138,92 @@ class Vocabulary:
                 return left[: len(left) - len(a)] + window + right[len(b) :]
             k *= 2
 
+    def merge_many(self, raws: list[bytes], width: int) -> list[bytes]:
+        """Packed tokens of many pre-tokens of at most ``width`` bytes: each round merges the best pair of every one.
+
+        Rows hold the tokens between two empty columns; a merged token leaves a gap, which neighbours skip.
+        """
+        n, wide = len(raws), width + 2
+        ids = np.full((n, wide), -1, np.int64)
+        size = np.fromiter(map(len, raws), np.int64, n)
+        grid = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in raws]), np.uint8).reshape(n, width)
+        ids[:, 1:-1] = np.where(np.arange(width) < size[:, None], self._byte_ids[grid], -1)
+        ranks = np.full((n, wide), _NONE, np.int64)
+        made = np.zeros((n, wide), np.int64)
+        ranks[:, :-1], made[:, :-1] = self._look(ids[:, :-1], ids[:, 1:])
+        after = np.broadcast_to(np.arange(1, wide + 1), (n, wide)).copy()
+        before = np.broadcast_to(np.arange(-1, wide - 1), (n, wide)).copy()
+        live = np.arange(n)
+        while len(live):
+            at = ranks[live].argmin(1)
+            go = ranks[live, at] < _NONE
+            live, at = live[go], at[go]
+            gone = after[live, at]
+            follow, lead = after[live, gone], before[live, at]
+            ids[live, at], ids[live, gone] = made[live, at], -1
+            after[live, at], before[live, follow] = follow, at
+            ranks[live, gone] = _NONE
+            ranks[live, at], made[live, at] = self._look(ids[live, at], ids[live, follow])
+            ranks[live, lead], made[live, lead] = self._look(ids[live, lead], ids[live, at])
+        packed = ids[ids >= 0].astype("<u4").tobytes()
+        ends = np.cumsum((ids >= 0).sum(1)) * 4
+        return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def _look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and product of pairs; an empty place (-1) merges with nothing."""
+        key = np.where((a < 0) | (b < 0), 1 << 62, a << 32 | b)
+        at = np.searchsorted(self._keys, key)
+        hit = self._keys[at] == key
+        return np.where(hit, self._ranks[at], _NONE), self._made[at]
+
     # -- texts
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        of = self.remembered.__getitem__
-        if self.specials is None or not self.specials.search(text):
-            return b"".join(map(of, self.pattern.findall(text)))
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the tokens of chunks, which hold whole pre-tokens."""
+        split = [self._pre_tokens(c) for c in chunks]
+        done: dict[bytes | int, bytes] = {k: k.to_bytes(4, "little") for k in self.special.values()}
+        by_width: dict[int, list[bytes]] = {}
+        for raw in {p for parts in split for p in parts} - done.keys():
+            width = next((w for w in WIDTHS if len(raw) <= w), 0)
+            by_width.setdefault(width, []).append(raw)
+        for raw in by_width.pop(0, ()):
+            done[raw] = np.array(self.tree(raw), "<u4").tobytes()
+        for width, raws in by_width.items():
+            for low in range(0, len(raws), _MERGED):
+                done.update(zip(raws[low : low + _MERGED], self.merge_many(raws[low : low + _MERGED], width)))
+        for chunk, parts in zip(chunks, split):
+            self.known[chunk] = b"".join([done[p] for p in parts])
+
+    def _pre_tokens(self, chunk: str) -> list[bytes | int]:
+        """Bytes of each pre-token, and ids of special tokens."""
+        if self.specials is None or not self.specials.search(chunk):
+            return [p.encode() for p in self.pattern.findall(chunk)]
         out, at = [], 0
-        for m in self.specials.finditer(text):
-            out += map(of, self.pattern.findall(text[at : m.start()]))
-            out.append(self.special[m.group()].to_bytes(4, "little"))
+        for m in self.specials.finditer(chunk):
+            out += [p.encode() for p in self.pattern.findall(chunk[at : m.start()])]
+            out.append(self.special[m.group()])
             at = m.end()
-        return b"".join(out + [of(p) for p in self.pattern.findall(text[at:])])
+        return out + [p.encode() for p in self.pattern.findall(chunk[at:])]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers."""
+        find = _chunk().findall
+        pieces = [find(t) for t in texts]
+        new = set().union(*pieces).difference(self.known)
+        if new:
+            self._learn(list(new))
+        of = self.known.__getitem__
+        out = [b"".join(map(of, p)) for p in pieces]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
 
     def decode(self, ids: bytes) -> str:
-        tokens = self.tokens
-        return b"".join([tokens[t] for t in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        of = self.tokens.__getitem__
+        return b"".join(map(of, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
     # -- parts of huge texts
 
@@ -181,13 +258,20 @@ class Vocabulary:
         if not text:
             return 0, 0, True
         head = self.pattern.match(text)
-        first = len(self.remembered[head.group()]) // 4
+        first = len(self.tree(head.group().encode()))
         if head.end() == len(text):
             return first, first, True
         last = head
         for last in self.pattern.finditer(text, head.end()):
             pass
-        return first, len(self.remembered[last.group()]) // 4, False
+        return first, len(self.tree(last.group().encode())), False
+
+
+@cache
+def _chunk():
+    """A run of white space and the run of other signs after it; the pattern always ends a pre-token between two of them."""
+    white = "".join(c for c in map(chr, range(0x3001)) if regex.match(r"\p{White_Space}", c))
+    return re.compile(f"[{white}]*[^{white}]+|[{white}]+")
 
 
 @cache
@@ -206,22 +290,6 @@ def _run_cut():
     return regex.compile("|".join(rf"(?<={k}{{4}})(?={k}{{4}})" for k in kinds))
 
 
-class Remembered(dict):
-    """Packed tokens by pre-token."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        packed = np.array(self.vocabulary.tree(raw), "<u4").tobytes()
-        if len(raw) <= LEAF:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 @lru_cache(maxsize=2)
 def vocabulary(source: str) -> Vocabulary:
     return Vocabulary(source)
@@ -246,7 +314,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(source.value)
         for batch in _slices(batches):
-            ids = [voc.encode(x) for x in batch.column("text").to_pylist()]
+            ids = voc.encode_many(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +329,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             texts = batch.column("text").to_pylist()
             edges = [voc.edges(t) for t in texts]
-            made = {"ids": [voc.encode(t) for t in texts], "first": [e[0] for e in edges], "last": [e[1] for e in edges], "single": [e[2] for e in edges]}
+            made = {"ids": voc.encode_many(texts), "first": [e[0] for e in edges], "last": [e[1] for e in edges], "single": [e[2] for e in edges]}
             kept = {n: batch.column(n) for n in ("row", "doc_id", "part", "inside")}
             yield pa.RecordBatch.from_pydict(kept | made, schema=CODED)
 

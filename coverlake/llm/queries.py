@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from coverlake.llm import bpe
 from coverlake.llm.common import table
 from coverlake.llm.exact import exact_duplicates
+from coverlake.llm.quality import quality
 from coverlake.llm.simhash import simhash_groups
+from coverlake.llm.toxicity import toxicity
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,12 +30,20 @@ def op3_simhash_near_dedup(spark, folder):
     return simhash_groups(table(spark, folder, "documents"), shingle=3, distance=2)
 
 
+def op4_quality(spark, folder):
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_exact_dedup(spark, folder):
     found = exact_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op8_exact_dedup)}
+def op10_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_quality, op8_exact_dedup, op10_toxicity)}
 
 SQL = {
     "op8_exact_dedup": r"""

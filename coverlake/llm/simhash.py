@@ -14,27 +14,25 @@ every input row gives one output row; an empty table gives an empty result; furt
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64_digest
 
 from coverlake.llm.common import components, cut
 
 SEED = 42
 BITS = 64
-_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Shingles hashed at a time: bounds the array of single bits.
 _SHINGLES = 1 << 14
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
     """The unsigned SimHash of one text."""
-    words = _WORDS.findall(text.encode().lower())
+    words = text.encode().lower().split()  # of bytes: A-Z only, and exactly the white space meant
     if not words:
         return 0
     n = max(1, len(words) - shingle + 1)
@@ -45,9 +43,10 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     ones = np.zeros(BITS, np.int64)
     for low in range(0, n, _SHINGLES):
         a, b = starts[low : min(n, low + _SHINGLES)].tolist(), last[low : min(n, low + _SHINGLES)].tolist()
-        hashes = np.array([xxh64_intdigest(joined[i:j], SEED) for i, j in zip(a, b)], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+        digests = b"".join([xxh64_digest(joined[i:j], SEED) for i, j in zip(a, b)])
+        bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1)
+        ones += bits.sum(0, dtype=np.uint32)
+    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
 def _hash_rows(shingle: int):

@@ -103,17 +103,13 @@ def _pieces(data: np.ndarray, low: int, high: int, limit: int) -> Iterator[tuple
         low = end
 
 
-def spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """Starts, ends (in bytes) and hashes of one text's words, with its bytes."""
-    raw = text.encode()
-    data = np.frombuffer(raw, np.uint8)
-    parts = [
-        (s + a, e + a, h) for a, b in _pieces(data, 0, len(raw), BLOCK) for s, e, h in [_block(data[a:b], np.zeros(0, np.int64))]
-    ]
+def spans(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words in some bytes; a word also ends at ``cuts``, where a text begins."""
+    parts = [(s + a, e + a, h) for a, b in _pieces(data, 0, len(data), BLOCK) for s, e, h in [_block(data[a:b], cuts - a)]]
     if not parts:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64), raw
-    return *(np.concatenate([p[k] for p in parts]) for k in range(3)), raw
+        return none, none, np.zeros(0, np.uint64)
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
 
 
 def runs(hashes: np.ndarray, width: int, start: int = 0) -> np.ndarray:

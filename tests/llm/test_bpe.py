@@ -44,6 +44,11 @@ def test_same_ids_on_any_text(text):
     assert VOC.decode(VOC.encode(text)) == LIBRARY.decode(library(text), skip_special_tokens=False)
 
 
+def test_side_by_side_merging():
+    raws = [w.encode() for w in ("a", "the", "ationtion", "éèê", "  ", "x" * 32, "ingtheandtion", "ab" * 16)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in VOC.merge_many(raws, 32)] == [VOC.merge(r) for r in raws]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcdeth", min_size=1, max_size=120), st.text(alphabet="abcdeth", min_size=1, max_size=120))
 def test_join_of_any_two_halves(a, b):
