@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from coverlake.llm import bpe
 from coverlake.llm.common import table
+from coverlake.llm.decontaminate import overlaps
 from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.quality import quality
 from coverlake.llm.simhash import simhash_groups
@@ -34,6 +35,10 @@ def op4_quality(spark, folder):
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_decontamination(spark, folder):
+    return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_exact_dedup(spark, folder):
     found = exact_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -43,7 +48,7 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_quality, op8_exact_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_quality, op7_decontamination, op8_exact_dedup, op10_toxicity)}
 
 SQL = {
     "op8_exact_dedup": r"""

@@ -17,6 +17,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: White space between words, and the same with everything else in ASCII but letters and digits.
+WHITE = _SPACE
+SIGNS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _random = np.random.default_rng(42).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE = _random.copy()
 _VALUE[65:91] = _random[97:123]
@@ -51,12 +54,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _block(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block(data: np.ndarray, cuts: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of one block; ``cuts`` are the places where a text begins."""
     n = len(data)
     inside = np.empty(n + 2, bool)
     inside[0] = inside[-1] = False
-    np.logical_not(_SPACE[data], out=inside[1:-1])
+    np.logical_not(gap[data], out=inside[1:-1])
     begins = inside[1:] & ~inside[:-1]
     ends = inside[:-1] & ~inside[1:]
     at = cuts[(cuts > 0) & (cuts < n)]
@@ -69,8 +72,8 @@ def _block(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, mix((sums[end] - sums[start]) * down[start])
 
 
-def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of whole rows as (first row, words per row, word hashes).
+def blocks(column: pa.Array, limit: int = BLOCK, gap: np.ndarray = WHITE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of whole rows as (first row, words per row, word hashes). ``gap``: the bytes between words.
 
     A run holds up to ``limit`` bytes or one longer text, which is hashed in pieces cut at white space.
     """
@@ -80,10 +83,10 @@ def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarr
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         low, high = int(offsets[row]), int(offsets[stop])
         if high - low <= limit:
-            start, _, hashes = _block(data[low:high], offsets[row:stop] - low)
+            start, _, hashes = _block(data[low:high], offsets[row:stop] - low, gap)
             yield row, np.diff(np.searchsorted(start, offsets[row : stop + 1] - low)), hashes
         else:
-            parts = [_block(data[a:b], np.zeros(0, np.int64))[2] for a, b in _pieces(data, low, high, limit)]
+            parts = [_block(data[a:b], np.zeros(0, np.int64), gap)[2] for a, b in _pieces(data, low, high, limit)]
             hashes = np.concatenate(parts)
             yield row, np.array([len(hashes)]), hashes
         row = stop
