@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table in the shared folder: smaller than a checkpoint, and its size is known to the planner."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def crc32_of_id(column: str = "doc_id"):
     """crc32 of the id written as text, the hash that deals documents to folds."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.llm.common import cut
-from coverlake.llm.words import SIGNS, blocks, mix
+from coverlake.llm.words import SIGNS, blocks, mix, stretch
 
 MASKS = ("11010111", "111100000101")
 WINDOW, LEAST, SIMILAR = 13, 5, 0.8
@@ -158,21 +158,6 @@ def _rows(batch: pa.RecordBatch, row: int, pos: np.ndarray, seed: np.ndarray, re
     )
 
 
-def stretch(same: np.ndarray) -> tuple[int, int]:
-    """Longest stretch [from, to) that begins and ends with an equal word and has SIMILAR of its words equal; of equals the first."""
-    at = np.flatnonzero(same)
-    if not len(at):
-        return 0, 0
-    # a stretch from match i to match j holds j - i + 1 equal words of at[j] - at[i] + 1
-    gain = np.arange(len(at)) - SIMILAR * at  # non-decreasing towards a good end; need gain[j] - gain[i] >= SIMILAR - 1
-    best, lowest = (0, 0), np.minimum.accumulate(gain)
-    for j in range(len(at)):
-        i = int(np.searchsorted(-lowest[: j + 1], -(gain[j] + 1 - SIMILAR) - 1e-9, "left"))  # first i with gain[i] low enough
-        if i <= j and at[j] - at[i] + 1 > best[1] - best[0]:
-            best = int(at[i]), int(at[j]) + 1
-    return best
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in FOUND.split(", ")]
     for batch in batches:
@@ -184,7 +169,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if high <= low:
                 continue
             same = np.array([own[shift + k] == item[k] for k in range(low, high)])
-            a, b = stretch(same)
+            a, b = stretch(same, SIMILAR)
             if b - a >= min(WINDOW, len(item)):
                 d = r["diagonal"] + low
                 out.append([r["doc_id"], r["text_hash"], r["item_id"], d + a, d + b, low + a, low + b, int(same[a:b].sum()), len(item)])

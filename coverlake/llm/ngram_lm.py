@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverlake.llm.common import cut, held_out
+from coverlake.llm.common import held_out, stored
 from coverlake.llm.words import blocks, mix
 from coverlake.session import shared_dir
 
@@ -274,7 +274,7 @@ def train(texts: DataFrame, width: int = RANGE) -> Model:
         shard = np.searchsorted(np.array(words.starts), ids, "right") - 1
         return pa.Table.from_batches([head, *_emit(ids, values.astype(np.uint64), shard)])
 
-    got = cut(texts.mapInArrow(_counted(pairs_of, bits), _BLOB).groupBy("shard").applyInArrow(store_pairs, _BLOB))
+    got = stored(texts.mapInArrow(_counted(pairs_of, bits), _BLOB).groupBy("shard").applyInArrow(store_pairs, _BLOB))
     heads = [(r.n, np.frombuffer(r.counts, "<i8")) for r in got.filter("shard = -1").collect()]
     pairs = Store(place, "pairs", bits, _starts({int(h[0]): n for n, h in heads}, bits))
     of_pairs = np.sum([h[1:] for _, h in heads], axis=0).tolist() if heads else [0] * 4

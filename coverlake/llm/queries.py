@@ -13,6 +13,7 @@ from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.ngram_lm import lm_scores
 from coverlake.llm.quality import quality
 from coverlake.llm.simhash import simhash_groups
+from coverlake.llm.substrings import shared_passages
 from coverlake.llm.toxicity import toxicity
 
 
@@ -29,6 +30,10 @@ def op1_bpe(spark, folder):
     )
 
 
+def op2_substring_dedup(spark, folder):
+    return shared_passages(table(spark, folder, "documents"))
+
+
 def op3_simhash_near_dedup(spark, folder):
     return simhash_groups(table(spark, folder, "documents"), shingle=3, distance=2)
 
@@ -72,7 +77,7 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op10_toxicity)}
 
 SQL = {
     "op5_chat_format": r"""

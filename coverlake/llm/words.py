@@ -124,3 +124,16 @@ def runs(hashes: np.ndarray, width: int, start: int = 0) -> np.ndarray:
     for k in range(width):
         out = out * _BASE + hashes[k : k + n]
     return mix(out)
+
+
+def stretch(same: np.ndarray, share: float) -> tuple[int, int]:
+    """Longest [from, to) that begins and ends where ``same`` holds and has at least ``share`` of it; of equals the first."""
+    at = np.flatnonzero(same)
+    if not len(at):
+        return 0, 0
+    # from the i-th place to the j-th: j - i + 1 of at[j] - at[i] + 1, enough if gain[j] - gain[i] >= share - 1
+    gain = np.arange(len(at)) - share * at
+    first = np.searchsorted(-np.minimum.accumulate(gain), -(gain + 1 - share) - 1e-9)
+    size = at - at[first] + 1
+    j = int(size.argmax())
+    return int(at[first[j]]), int(at[j]) + 1

@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 from coverlake.llm import decontaminate as d
+from coverlake.llm.words import stretch
 
 
 def tokens(text):
@@ -46,7 +47,7 @@ def test_stretch_equals_enumeration():
         for a, b in itertools.combinations(range(len(same) + 1), 2):
             if same[a] and same[b - 1] and same[a:b].sum() >= d.SIMILAR * (b - a):
                 best = max(best, b - a)
-        a, b = d.stretch(same)
+        a, b = stretch(same, d.SIMILAR)
         assert b - a == best and (best == 0 or (same[a] and same[b - 1]))
 
 
