@@ -12,6 +12,7 @@ from coverlake.llm.decontaminate import overlaps
 from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.ngram_lm import lm_scores
 from coverlake.llm.quality import quality
+from coverlake.llm.secrets import secret_scan
 from coverlake.llm.simhash import simhash_groups
 from coverlake.llm.substrings import shared_passages
 from coverlake.llm.toxicity import toxicity
@@ -73,11 +74,15 @@ def op8_exact_dedup(spark, folder):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_secret_scan(spark, folder):
+    return secret_scan(table(spark, folder, "documents"), path_col="source")
+
+
 def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op9_secret_scan, op10_toxicity)}
 
 SQL = {
     "op5_chat_format": r"""
