@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: How the vocabulary splits text before merging; fixed by the file format's "ByteLevel" rule.
@@ -385,3 +385,12 @@ def decode(coded: DataFrame, path: str, *keep: str) -> DataFrame:
 
     schema = ", ".join(f"`{n}` {coded.schema[n].dataType.simpleString()}" for n in columns)
     return coded.select(*columns).mapInArrow(run, schema + ", decoded string")
+
+
+def digests() -> list[Column]:
+    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` from ``ids`` and ``decoded``."""
+    return [
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    ]

@@ -36,6 +36,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_hash(text):
+    """Hash of a text as it is; a null is an empty text. With the id it names a row, apart from equal rows."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def rows_named(docs: DataFrame, names: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose id and text hash are (``left_semi``) or are not (``left_anti``) among ``names``.
+
+    ``names`` (``doc_id``, ``text_hash``) is written first, so that its size decides how it is joined.
+    """
+    n = stored(names.select(F.col("doc_id").alias("named_id"), F.col("text_hash").alias("named_hash")).distinct())
+    same = docs[id_col].cast("long").eqNullSafe(n.named_id) & (text_hash(docs[text_col]) == n.named_hash)
+    return docs.join(n, same, how)
+
+
 def crc32_of_id(column: str = "doc_id"):
     """crc32 of the id written as text, the hash that deals documents to folds."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.common import SPACES, cut
+from coverlake.llm.common import SPACES, cut, text_hash
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 1_812_433_253)
@@ -31,7 +31,7 @@ CHUNK = 1 << 16
 HUGE = 1 << 23
 
 KEY = ["h1", "h2", "n_bytes"]
-PART = "row long, doc_id long, text_sha256 string, n_bytes long, part long, h1 long, h2 long, shift1 long, shift2 long"
+PART = "row long, doc_id long, text_hash long, text_sha256 string, n_bytes long, part long, h1 long, h2 long, shift1 long, shift2 long"
 
 
 def normal(text: Column) -> Column:
@@ -74,23 +74,24 @@ def _hash_parts(chunk: int, prime: int):
         for batch in batches:
             got = [fingerprint(x.as_py(), chunk, prime) for x in batch.column("raw")]
             columns = [pa.array([g[k] for g in got], pa.int64()) for k in range(4)]
-            kept = [batch.column(n) for n in ("row", "doc_id", "text_sha256", "n_bytes", "part")]
+            kept = [batch.column(n) for n in ("row", "doc_id", "text_hash", "text_sha256", "n_bytes", "part")]
             yield pa.RecordBatch.from_arrays(kept + columns, names=[x.split()[0] for x in PART.split(", ")])
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, huge: int = HUGE, chunk: int = CHUNK, prime: int = PRIME) -> DataFrame:
-    """One row per input row: ``doc_id``, ``text_sha256``, ``n_bytes`` and the fingerprint ``h1``, ``h2``."""
+    """One row per input row: ``doc_id``, ``text_hash`` (of the text as it is), ``text_sha256``, ``n_bytes`` and the
+    fingerprint ``h1``, ``h2``."""
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     size = F.octet_length(F.coalesce("text", F.lit("")))
 
     def prepared(df: DataFrame) -> DataFrame:
-        raw = df.select("doc_id", normal(F.col("text")).cast("binary").alias("raw"))
-        return raw.select("doc_id", F.sha2("raw", 256).alias("text_sha256"), F.octet_length("raw").cast("long").alias("n_bytes"), "raw")
+        raw = df.select("doc_id", text_hash(F.col("text")).alias("text_hash"), normal(F.col("text")).cast("binary").alias("raw"))
+        return raw.select("doc_id", "text_hash", F.sha2("raw", 256).alias("text_sha256"), F.octet_length("raw").cast("long").alias("n_bytes"), "raw")
 
     def hashed(df: DataFrame) -> DataFrame:
-        columns = ["row", "doc_id", "text_sha256", "n_bytes", "part", "raw"]
+        columns = ["row", "doc_id", "text_hash", "text_sha256", "n_bytes", "part", "raw"]
         return df.select(*columns).mapInArrow(_hash_parts(chunk, prime), PART)
 
     whole = hashed(prepared(base.filter(size <= huge)).withColumns({"row": F.lit(0).cast("long"), "part": F.lit(0).cast("long")}))
@@ -108,11 +109,11 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, huge: int = HUGE,
 
     combined = (
         hashed(parts)
-        .groupBy("row", "doc_id", "text_sha256", "n_bytes")
+        .groupBy("row", "doc_id", "text_hash", "text_sha256", "n_bytes")
         .agg(F.array_sort(F.collect_list(F.struct("part", "h1", "h2", "shift1", "shift2"))).alias("parts"))
-        .select("doc_id", "text_sha256", "n_bytes", joined(1), joined(2))
+        .select("doc_id", "text_hash", "text_sha256", "n_bytes", joined(1), joined(2))
     )
-    return whole.select("doc_id", "text_sha256", "n_bytes", "h1", "h2").union(combined)
+    return whole.select("doc_id", "text_hash", "text_sha256", "n_bytes", "h1", "h2").union(combined)
 
 
 def mixed_groups(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, chunk: int = CHUNK) -> DataFrame:
@@ -138,7 +139,7 @@ def mixed_groups(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str,
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", huge: int = HUGE, chunk: int = CHUNK, prime: int = PRIME
 ) -> DataFrame:
-    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` and ``n_bytes`` of every row of ``docs``."""
+    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``n_bytes`` and ``text_hash`` of every row of ``docs``."""
     prints = fingerprints(docs, id_col, text_col, huge, chunk, prime)
     prints = cut(prints.withColumn("row", F.monotonically_increasing_id()))  # fixed from here on, as the rows are written
     mixed = mixed_groups(docs, prints, id_col, text_col, chunk).withColumn("mixed", F.lit(True))
@@ -157,4 +158,5 @@ def exact_duplicates(
         (F.col("row") == F.col("first.row")).alias("kept"),
         "text_sha256",
         "n_bytes",
+        "text_hash",
     )

@@ -224,26 +224,33 @@ def _blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         row = stop
 
 
+def _scores(column: pa.Array, model: Model) -> np.ndarray:
+    out = np.empty(len(column))
+    for first, stop, x, length, owner in _blocks(column):
+        p, _ = marginals(x @ model.weights, owner, model.table)
+        out[first:stop] = document_means(p, length, owner, stop - first)
+    return sigmoid(model.slope * out + model.shift)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` of every row. The model is some forty numbers."""
-    return scored(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), model, "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), model))], names=["doc_id", "score"])
 
-def scored(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """All columns of ``docs`` but the text, and ``score``."""
-    names = [n for n in docs.columns if n != text_col]
+    base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    return base.mapInArrow(run, "doc_id long, score double")
+
+
+def good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, as they are, whose score reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.empty(batch.num_rows)
-            for first, stop, x, length, owner in _blocks(batch.column(text_col)):
-                p, _ = marginals(x @ model.weights, owner, model.table)
-                out[first:stop] = document_means(p, length, owner, stop - first)
-            value = sigmoid(model.slope * out + model.shift)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(value)], names=[*names, "score"])
-
-    schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return docs.mapInArrow(run, schema + ", score double")
+            yield batch.filter(pa.array(_scores(batch.column(text_col), model) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from coverlake.llm import bpe
@@ -14,21 +13,14 @@ from coverlake.llm.ngram_lm import lm_scores
 from coverlake.llm.quality import quality
 from coverlake.llm.secrets import secret_scan
 from coverlake.llm.simhash import simhash_groups
+from coverlake.llm.stages import VOCABULARY
 from coverlake.llm.substrings import shared_passages
 from coverlake.llm.toxicity import toxicity
 
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op1_bpe(spark, folder):
     coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), VOCABULARY), VOCABULARY, "doc_id")
-    return coded.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return coded.select("doc_id", *bpe.digests())
 
 
 def op2_substring_dedup(spark, folder):

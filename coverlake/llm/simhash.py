@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from coverlake.llm.common import components, cut
+from coverlake.llm.common import components, cut, text_hash
 
 SEED = 42
 BITS = 64
@@ -53,7 +53,8 @@ def _hash_rows(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(x.as_py() or "", shingle) for x in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "print"])
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(prints.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "print"])
 
     return run
 
@@ -95,19 +96,31 @@ def links(prints: DataFrame, distance: int, segments: int = 2) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def simhash_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2, segments: int = 2
-) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``."""
-    base = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    rows = cut(base.mapInArrow(_hash_rows(shingle), "doc_id long, print long"))
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, segments: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``print``, ``root`` (of the component) and ``component_id`` of every row of ``docs``."""
+    base = docs.select(docs[id_col].cast("long").alias("doc_id"), text_hash(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
+    rows = cut(base.mapInArrow(_hash_rows(shingle), "doc_id long, text_hash long, print long"))
     distinct = cut(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct.select("print"), distance, segments))
     named = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "root").select("print", "component_id")
-    return rows.join(named, "print").select(
+    return rows.join(named.join(smallest, "root").select("print", "root", "component_id"), "print")
+
+
+def simhash_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2, segments: int = 2
+) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``."""
+    return grouped(docs, id_col, text_col, shingle, distance, segments).select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2, segments: int = 2
+) -> DataFrame:
+    """The one row of each component that stays, as ``doc_id`` and ``text_hash``: the smallest id, nulls last, then the smallest hash."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    return grouped(docs, id_col, text_col, shingle, distance, segments).groupBy("root").agg(first).select("first.doc_id", "first.text_hash")
