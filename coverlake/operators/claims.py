@@ -117,13 +117,14 @@ def work_type_match(insured: DataFrame, work_grade: DataFrame, work_match: DataF
 def claims_in_cover(insured: DataFrame, claim: DataFrame) -> DataFrame:
     """Payable claims of each (policy, person, cover start), and a flag-like count of them.
 
-    A claim belongs to a cover if its date lies inside it, or if it has no date. Several covers with one start add up.
+    A claim belongs to a cover if its date lies inside it, or if it has no date; a cover without an end holds only the
+    latter. Several covers with one start add up.
     """
     facts = claim.select(
         "policy_id", F.col("risk_cert_no").alias("cert_no"), "risk_day", "payable", F.lit(1).cast("bigint").alias("cases")
     )
     covers = insured.where(F.col("start_date").isNotNull() & F.col("cert_no").isNotNull()).withColumn(
-        "until", F.coalesce("end_date", F.lit("1900-01-01").cast("date"))
+        "until", F.coalesce("end_date", F.date_sub("start_date", 1))
     )
     multiplicity = covers.groupBy("policy_id", "cert_no", "start_date", "until").agg(F.count(F.lit(1)).alias("times"))
     keys = ["policy_id", "cert_no"]

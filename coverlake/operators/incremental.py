@@ -21,10 +21,14 @@ def snapshot_delta(today: DataFrame, yesterday: DataFrame, key: str, version: st
     return today.join(old, key, "left").withColumn("inc_type", kind).where("inc_type is not null").drop("old_version", "known")
 
 
-def keyed_merge(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert or replace by key. One row per key on each side."""
-    kept = stored.join(new.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(new)
+def keyed_merge(stored: DataFrame, new: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
+    """Insert or replace by key. Of several new rows of one key the one with the largest ``version`` counts (of equals,
+    and without a version, the one with the largest values)."""
+    rest = [c for c in new.columns if c not in keys]
+    order = F.struct(*[c for c in [version] if c], *[c for c in rest if c != version])
+    folded = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("row")).select(*keys, "row.*") if rest else new.distinct()
+    kept = stored.join(folded.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(folded)
 
 
 def label_merge(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:

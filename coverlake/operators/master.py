@@ -16,9 +16,8 @@ from coverlake.operators.premium import DIRECT_CHANNEL
 MONEY = "decimal(14,4)"
 LIVE_STATUSES = [0, 1, -1]
 
-# Cities that are their own province, and lines of business with a default salesman.
+# Cities that are their own province, and the line of business with customers of its own.
 MUNICIPALITIES = ["北京市", "天津市", "重庆市", "上海市"]
-LINE_SALESMAN = {"健康": "保准健康", "员福": "公司", "场景": "公司"}
 SPORT_LINE = "体育"
 # Coded plan attributes.
 DISABILITY_SCALE = {"K1": "0.01", "K2": "0.05", "K3": "0.1"}
@@ -307,14 +306,15 @@ def policy_person_wide(master: DataFrame, insured: DataFrame, claim: DataFrame)
 
 
 def non_employer_master(
-    policy: DataFrame, product: DataFrame, sport_customers: DataFrame, team: DataFrame, plan: DataFrame, excluded_lines: Sequence[str]
+    policy: DataFrame, product: DataFrame, sport_customers: DataFrame, team: DataFrame, plan: DataFrame, excluded_lines: Sequence[str],
+    line_salesman: dict[str, str],
 ) -> DataFrame:
-    """Policies of the other lines. The salesman is the one on the policy, else a rule of the line.
+    """Policies of the other lines. The salesman is the one on the policy, else the one ``line_salesman`` names for the line.
 
     The salesman is computed before the team is joined, so that join stays an equi-join.
     """
     rule = F.when(F.col("business_line") == SPORT_LINE, F.col("sport_sales"))
-    for line, name in LINE_SALESMAN.items():
+    for line, name in line_salesman.items():
         rule = rule.when(F.col("business_line") == line, name)
     teams = team.select(F.col("sale_name").alias("sales_name"), "team_name", "department", "group_name")
     sports = sport_customers.where(F.col("type") == 1).select(F.col("name").alias("channel"), F.col("sales_name").alias("sport_sales"))
@@ -445,12 +445,12 @@ def insured_location(policy: DataFrame, insured: DataFrame, area: DataFrame, pro
     )
 
 
-def sports_policies(policy: DataFrame, product: DataFrame, customers: DataFrame) -> DataFrame:
+def sports_policies(policy: DataFrame, product: DataFrame, customers: DataFrame, default_sales: str) -> DataFrame:
     """Sports policies with the customer dimension and its defaults; a date is the later of itself and the creation."""
     dims = customers.where(F.col("type") == 1).select(
         F.col("name").alias("channel"),
         F.coalesce("customer_type", F.lit("日常营销")).alias("customer_type"),
-        F.coalesce("sales_name", F.lit("保准体育")).alias("sales_name"),
+        F.coalesce("sales_name", F.lit(default_sales)).alias("sales_name"),
         F.coalesce("source", F.lit("线上业务")).alias("source"),
     )
     kind = F.when(F.col("policy_type") == "1", "个单").otherwise("团单")

@@ -192,9 +192,10 @@ def earned_to_date(cover: DataFrame, policy: DataFrame, as_of: date) -> DataFram
     )
 
 
-def earned_between(cover: DataFrame, first: date, last: date, name: str) -> DataFrame:
-    """Premium earned per policy on days first..last; policies that earn nothing before ``last`` have no row."""
-    start, end = F.greatest("cover_start", F.lit(first)), F.least("cover_end", F.lit(last))
+def earned_between(cover: DataFrame, first: date | None, last: date, name: str) -> DataFrame:
+    """Premium earned per policy on days first..last (None: from the beginning); policies that earn nothing before ``last`` have no row."""
+    start = F.col("cover_start") if first is None else F.greatest("cover_start", F.lit(first))
+    end = F.least("cover_end", F.lit(last))
     days = F.when(start <= end, F.datediff(end, start) + 1).otherwise(0)
     return (
         day_prices(cover.where(F.col("cover_start") <= F.lit(last)))

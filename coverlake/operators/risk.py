@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coverlake.operators.claims import SETTLED
-from coverlake.operators.premium import ANNUAL, day_prices, distinct_cover, exposure_changes, zero_money
-from coverlake.operators.timeline import deltas, explode_days, levels, runs
+from coverlake.operators.premium import ANNUAL, day_prices, distinct_cover, earned_between, exposure_changes, exposure_to_date, zero_money
+from coverlake.operators.timeline import day_labels, deltas, explode_days, levels, runs
 
 MONEY = "decimal(14,4)"
 GROUP = ("channel", "insurer", "charge_type")
@@ -21,7 +21,7 @@ LOSS_A, LOSS_B = 0.7, 1.3
 
 
 def risk_monitor(
-    policy: DataFrame, cover: DataFrame, ledger: DataFrame, claim: DataFrame, calendar: DataFrame, as_of: date
+    policy: DataFrame, cover: DataFrame, ledger: DataFrame, claim: DataFrame, as_of: date
 ) -> DataFrame:
     """Exposure, premium, claims and expiry by (channel, insurer, charge type, day) with running totals.
 
@@ -72,16 +72,52 @@ def risk_monitor(
         *keys, "day", *LEVELS, *[F.when(F.col("day") == F.col("from_day"), F.col(m)).otherwise(0).alias(m) for m in FLOWS]
     )
     running = filled.select("*", *[F.sum(m).over(upto).alias(f"acc_{m}") for m in [*LEVELS, *FLOWS]])
-    labels = F.broadcast(
-        calendar.select(
-            F.col("d_day").alias("day"),
-            F.col("c_week_id").alias("week_id"),
-            F.when(F.col("week_day") == 5, "星期五").alias("week_day"),
-            F.col("c_month_id").alias("month_id"),
-            F.when(F.col("c_month_end_date") == F.col("d_day"), F.col("c_month_end_date")).alias("month_end"),
-        )
+    labels = day_labels(F.col("day"))
+    return running.withColumns(
+        {
+            "week_id": labels["c_week_id"],
+            "week_day": F.when(labels["week_day"] == 5, "星期五"),
+            "month_id": labels["c_month_id"],
+            "month_end": F.when(labels["c_month_end_date"] == F.col("day"), F.col("day")),
+        }
+    )
+
+
+def risk_monitor_today(policy: DataFrame, cover: DataFrame, ledger: DataFrame, claim: DataFrame, as_of: date) -> DataFrame:
+    """The rows of :func:`risk_monitor` for one day, without the others: head-count and running totals per group.
+
+    Totals up to a day need no days: a level adds up to its value times its days so far, a flow to what is dated so far.
+    Everything is summed per policy first, and the group columns come from the policy.
+    """
+    today, money = F.lit(as_of), "decimal(24,4)"
+    period = policy.where(F.col("channel").isNotNull() & (F.col("start_date") <= today)).select(
+        "policy_id", *GROUP, "start_date", F.coalesce("end_date", "start_date").alias("end_date")
+    )
+    ended = F.col("end_date") <= today
+    dates = period.select("policy_id", "start_date", "end_date")
+
+    def so_far(df: DataFrame, day: str) -> DataFrame:
+        return df.join(dates, "policy_id").where(F.col(day).between(F.col("start_date"), F.least("end_date", today)))
+
+    people = exposure_to_date(cover, as_of).select("policy_id", F.col("curr_insured").alias("head_count"), F.col("person_count").alias("acc_head_count"))
+    earned = earned_between(cover, None, as_of, "acc_earned_premium")
+    price = zero_money(F.col("day_price")) * (F.datediff("cover_end", "cover_start") + 1)
+    expired = day_prices(cover.where(F.col("policy_end") <= today)).groupBy("policy_id").agg(F.sum(price).alias("acc_expired_premium"))
+    moved = so_far(ledger.select("policy_id", "day", "sum_premium"), "day").groupBy("policy_id").agg(F.sum("sum_premium").alias("acc_ledger_premium"))
+    settled = F.when(F.col("case_status") == SETTLED, F.col("payable"))
+    claims = so_far(claim.select("policy_id", "risk_day", "payable", "case_status"), "risk_day").groupBy("policy_id").agg(
+        F.count(F.lit(1)).alias("acc_cases"), F.sum("payable").alias("acc_payable"), F.sum(settled).alias("acc_settled"),
+        F.sum(F.when(ended, F.col("payable"))).alias("acc_expired_claims"),
+    )
+    whole = period
+    for part in (people, earned, expired, moved, claims):
+        whole = whole.join(part, "policy_id", "left")
+    counts, sums = ["head_count", "acc_head_count", "acc_cases"], [
+        "acc_earned_premium", "acc_ledger_premium", "acc_payable", "acc_settled", "acc_expired_premium", "acc_expired_claims"]
+    return whole.groupBy(*GROUP).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast(money).alias(c) for c in sums],
     )
-    return running.join(labels, "day", "left")
 
 
 def class_mix(work: DataFrame) -> DataFrame:
@@ -182,16 +218,18 @@ def target_channels(base: DataFrame, as_of: date, since: date) -> DataFrame:
     )
 
 
-def target_months(cover: DataFrame, claim: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
+def target_months(cover: DataFrame, claim: DataFrame, key: str) -> DataFrame:
     """Per channel and ten-day period: premium earned, and claims paid on days that earned premium.
 
     Premium is spread per channel; claims count where their policy was earning on that day.
     """
     runs = levels(day_prices(cover), [key], "cover_start", "cover_end", {"earned": zero_money(F.col("day_price"))})
-    labels = F.broadcast(calendar.select(F.col("d_day").alias("day"), F.col("c_ten_day_id").alias("ten_day"), F.col("c_month_id").alias("month")))
-    earned = (
-        explode_days(runs, "from_day", "to_day").join(labels, "day", "left").groupBy(key, "ten_day", "month").agg(F.sum("earned").alias("earned"))
-    )
+
+    def period(day: str) -> list[Column]:
+        labels = day_labels(F.col(day))
+        return [labels["c_ten_day_id"].alias("ten_day"), labels["c_month_id"].alias("month")]
+
+    earned = explode_days(runs, "from_day", "to_day").groupBy(key, *period("day")).agg(F.sum("earned").alias("earned"))
     facts = claim.where(F.col("risk_day").isNotNull()).groupBy("policy_id", "risk_day").agg(F.sum("payable").alias("payable"))
     earning = (
         distinct_cover(cover.withColumn("all", F.lit("all")), "all", (key,)).select("policy_id", key, "start", "end")
@@ -199,8 +237,7 @@ def target_months(cover: DataFrame, claim: DataFrame, calendar: DataFrame, key:
     paid = (
         facts.join(earning, "policy_id")
         .where(F.col("risk_day").between(F.col("start"), F.col("end")))
-        .join(labels, F.col("risk_day") == F.col("day"), "left")
-        .groupBy(key, "ten_day", "month")
+        .groupBy(key, *period("risk_day"))
         .agg(F.sum("payable").alias("payable"))
     )
     return earned.join(paid, [key, "ten_day", "month"], "left")

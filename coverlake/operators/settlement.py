@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -235,11 +236,13 @@ def sales_performance(ledger: DataFrame, sales: DataFrame, team: DataFrame, sinc
 def masked_sample(performance: DataFrame, seed: int) -> DataFrame:
     """The same report for demos: channel names masked, premium scaled by a factor in [0, 1).
 
-    The factor is a hash of the row and the seed, so a rerun or a recomputed partition gives the same sample.
+    The factor comes from the md5 of the row and the seed, so a rerun or a recomputed partition gives the same sample.
     """
-    hashed = F.pmod(F.xxhash64(F.lit(seed), "channel_name", "accounting_day", "category", "salesman"), F.lit(1000000))
+    row = F.concat_ws("|", F.lit(str(seed)), "channel_name", F.col("accounting_day").cast("string"), "category", "salesman")
+    hashed = F.conv(F.substring(F.md5(row), 1, 7), 16, 10).cast("bigint") % 1000000
+    factor = hashed.cast("decimal(6,0)") * F.lit(Decimal("0.000001"))  # exact, so that the product is rounded once
     return performance.withColumns(
-        {"channel_name": mask_name(F.col("channel_name")), "premium": (F.col("premium") * hashed / 1000000).cast("decimal(24,4)")}
+        {"channel_name": mask_name(F.col("channel_name")), "premium": (F.col("premium").cast("decimal(24,4)") * factor).cast("decimal(24,4)")}
     )
 
 

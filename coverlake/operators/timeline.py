@@ -1,8 +1,8 @@
 """Day-level building blocks.
 
-All of them first shrink a group to at most one row per calendar day (a partial aggregate, done before the shuffle), and
-only then use a window. A window partition is therefore bounded by the length of the calendar, whatever share of the
-input one key holds.
+Most of them first shrink a group to at most one row per calendar day (a partial aggregate, done before the shuffle), and
+only then use a window. Such a window partition is bounded by the length of the calendar, whatever share of the input one
+key holds. The exceptions say so.
 """
 
 from __future__ import annotations
@@ -12,9 +12,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from coverlake.functions.dates import day_id, month_id, ten_day_label
 
+#: Neighbouring ids sorted together by :func:`previous_in_time`.
+BUCKET, PREFIX = 1 << 12, 8
+
 
 def day_range(start: Column, end: Column) -> Column:
     """All days from start to end, both included; empty if start is after end."""
@@ -136,39 +140,50 @@ def sums_inside(
 
 
 def previous_in_time(df: DataFrame, key: str, day: str, tiebreak: str, out: str) -> DataFrame:
-    """``lag(tiebreak)`` per key ordered by (day, tiebreak), safe for a hot key.
+    """``lag(tiebreak)`` per key ordered by (day, tiebreak), a null day first; every row stays. A row without a key has
+    nothing before it.
 
-    The sort runs inside (key, day); what crosses a day is the last row of each day, of which a key has at most one per
-    calendar day.
+    Ids of one key and day are sorted in buckets of ``BUCKET`` neighbouring ids (text ids: those of one prefix), and what
+    crosses a bucket is its largest id. So a key with very many rows on one day costs a sort per bucket and one row for
+    each, not a sort of all of them.
     """
-    inner = Window.partitionBy(key, day).orderBy(tiebreak)
-    across = Window.partitionBy(key).orderBy(day)
-    last_of_day = (
-        df.groupBy(key, day)
-        .agg(F.max(tiebreak).alias("last"))
-        .select(key, day, F.lag("last").over(across).alias("carried"))
+    whole = isinstance(df.schema[tiebreak].dataType, IntegralType)
+    bucket = F.floor(F.col(tiebreak) / BUCKET) if whole else F.substring(tiebreak, 1, PREFIX)
+    cut = df.withColumn("_bucket", bucket)
+    inner = Window.partitionBy(key, day, "_bucket").orderBy(tiebreak)
+    across = Window.partitionBy("_key").orderBy("_day", "_last")
+    last = (
+        cut.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(day).alias("_day"), F.col("_bucket").alias("_of"))
+        .agg(F.max(tiebreak).alias("_last"))
+        .select("_key", "_day", "_of", F.lag("_last").over(across).alias("_carried"))
     )
+    same = (F.col(key) == F.col("_key")) & F.col(day).eqNullSafe(F.col("_day")) & F.col("_bucket").eqNullSafe(F.col("_of"))
+    before = F.when(F.col(key).isNotNull(), F.lag(tiebreak).over(inner))
     return (
-        df.withColumn("same_day", F.lag(tiebreak).over(inner))
-        .join(last_of_day, [key, day])
-        .withColumn(out, F.coalesce("same_day", "carried"))
-        .drop("same_day", "carried")
+        cut.withColumn("_same", before)
+        .join(last, same, "left")
+        .withColumn(out, F.coalesce("_same", "_carried"))
+        .drop("_same", "_carried", "_bucket", "_key", "_day", "_of")
     )
 
 
+def day_labels(d: Column) -> dict[str, Column]:
+    """Week, ten-day, month and quarter labels of a day, for any day there is."""
+    year = F.year(d).cast("string")
+    return {
+        "c_day_id": day_id(d),
+        "c_week_id": F.concat(F.extract(F.lit("YEAROFWEEK"), d).cast("string"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")),
+        "week_day": F.weekday(d) + 1,
+        "c_month_id": month_id(d),
+        "c_month_end_date": F.last_day(d),
+        "c_ten_day_id": F.concat(year, F.lit("-T"), F.lpad(((F.month(d) - 1) * 3 + ten_day_label(d)).cast("string"), 2, "0")),
+        "c_quarter_id": F.concat(year, F.lit("-Q"), F.quarter(d).cast("string")),
+        "d_last_month_day": F.add_months(d, -1),
+    }
+
+
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
-    """Day dimension with week, ten-day, month and quarter labels; one row per day, so its size is known."""
+    """Day dimension with all labels, one row per day from start to end."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("d_day"))
-    d = F.col("d_day")
-    year = F.year(d).cast("string")
-    return days.select(
-        d,
-        day_id(d).alias("c_day_id"),
-        F.concat(F.extract(F.lit("YEAROFWEEK"), d).cast("string"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")).alias("c_week_id"),
-        (F.weekday(d) + 1).alias("week_day"),
-        month_id(d).alias("c_month_id"),
-        F.last_day(d).alias("c_month_end_date"),
-        F.concat(year, F.lit("-T"), F.lpad(((F.month(d) - 1) * 3 + ten_day_label(d)).cast("string"), 2, "0")).alias("c_ten_day_id"),
-        F.concat(year, F.lit("-Q"), F.quarter(d).cast("string")).alias("c_quarter_id"),
-        F.add_months(d, -1).alias("d_last_month_day"),
-    )
+    return days.select("d_day", *[c.alias(n) for n, c in day_labels(F.col("d_day")).items()])

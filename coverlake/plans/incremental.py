@@ -170,10 +170,15 @@ def backup_copy(t: Tables) -> DataFrame:
     return t.policy.withColumns({"snapshot_day": F.date_format(day, "yyyyMMdd"), "snapshot_week": week})
 
 
-@query("job_status_log", "table:str rows:long status:long", """
-SELECT 'policy' AS "table", count(*) AS rows, 1 AS status FROM d_policy UNION ALL SELECT 'insured', count(*), 1 FROM d_insured
-UNION ALL SELECT 'claim', count(*), 1 FROM d_claim UNION ALL SELECT 'endorsement', count(*), 1 FROM d_endorsement""")
+LOADED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+          "labels", "conversations"]
+CONFORMED = ["policy", "insured", "claim", "endorsement", "plan", "product", "sales"]
+
+
+@query("job_status_log", "table:str rows:long status:long", "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS "table", count(*) AS rows, CASE WHEN count(*) > 0 THEN 1 ELSE 0 END AS status FROM {source}"""
+    for name, source in [*((n, n) for n in LOADED), *((n, f"d_{n}") for n in CONFORMED)]))
 def job_status_log(t: Tables) -> DataFrame:
     old = Q.status_log([("policy", t.policy), ("claim", t.claim)]).withColumn("version", F.lit(1))
-    new = Q.status_log([("insured", t.insured), ("claim", t.claim), ("endorsement", t.endorsement)]).withColumn("version", F.lit(2))
+    new = Q.status_log([*((n, t.raw(n)) for n in LOADED), *((n, getattr(t, n)) for n in CONFORMED)]).withColumn("version", F.lit(2))
     return I.shard_union([old, new], "table", "version")

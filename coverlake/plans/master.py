@@ -288,15 +288,19 @@ def sport_customers(t: Tables) -> DataFrame:
 CTES["x_other_master"] = """
 SELECT p.policy_id, p.holder_name, p.channel, md5(p.channel) AS channel_id, business_line, p.product_code, p.first_premium, p.start_date, p.end_date, sales_name, team_name, department, tech_rate, broker_rate
 FROM (SELECT p.*, business_line, coalesce(CASE WHEN policy_id % 2 = 0 THEN 'Supplier#000000001' END,
-    CASE business_line WHEN '体育' THEN c.sales_name WHEN '健康' THEN '保准健康' WHEN '员福' THEN '公司' WHEN '场景' THEN '公司' END) AS sales_name
+    CASE business_line WHEN '体育' THEN c.sales_name WHEN '健康' THEN '健康部' WHEN '员福' THEN '公司' WHEN '场景' THEN '公司' END) AS sales_name
   FROM d_policy p JOIN d_product r ON r.product_code = p.product_code AND business_line NOT IN ('雇主', '接口')
   LEFT JOIN (SELECT * FROM x_sport_customer WHERE type = 1) c ON c.name = p.channel WHERE policy_status IN (0, 1, -1)) p
 LEFT JOIN d_sales_team t ON t.sale_name = p.sales_name LEFT JOIN d_plan pl ON pl.policy_id = p.policy_id"""
 
 
+# Fixed values of the test tables: the default salesman of a line of business.
+LINE_SALESMAN = {"健康": "健康部", "员福": "公司", "场景": "公司"}
+
+
 def other_master(t: Tables) -> DataFrame:
     policy = t.policy.withColumn("policy_sales", F.when(F.pmod("policy_id", F.lit(2)) == 0, "Supplier#000000001"))
-    return M.non_employer_master(policy, t.product, sport_customers(t), t.sales_team, t.plan, ["雇主", "接口"])
+    return M.non_employer_master(policy, t.product, sport_customers(t), t.sales_team, t.plan, ["雇主", "接口"], LINE_SALESMAN)
 
 
 @query("non_employer_master", "policy_id:long holder_name:str channel:str channel_id:str business_line:str sales_name:str team_name:str department:str "
@@ -399,7 +403,7 @@ def insured_location(t: Tables) -> DataFrame:
        "customer_type:str sales_name:str source:str", """
 SELECT p.policy_id, holder_name, channel, product_name, CASE WHEN charge_type = 1 THEN '个单' ELSE '团单' END AS policy_type,
   greatest(start_date, CASE WHEN policy_id % 3 <> 0 THEN start_date + 5 ELSE start_date END) AS start_date, person_count AS people, first_premium AS premium,
-  CASE WHEN c.name IS NOT NULL THEN coalesce(customer_type, '日常营销') END AS customer_type, CASE WHEN c.name IS NOT NULL THEN coalesce(sales_name, '保准体育') END AS sales_name,
+  CASE WHEN c.name IS NOT NULL THEN coalesce(customer_type, '日常营销') END AS customer_type, CASE WHEN c.name IS NOT NULL THEN coalesce(sales_name, '体育部') END AS sales_name,
   CASE WHEN c.name IS NOT NULL THEN coalesce(source, '线上业务') END AS source
 FROM d_policy p JOIN d_product r ON r.product_code = p.product_code AND business_line = '体育'
 LEFT JOIN (SELECT * FROM x_sport_customer WHERE type = 1) c ON c.name = p.channel WHERE policy_status IN (0, 1, -1)""")
@@ -407,4 +411,4 @@ def sports_policies(t: Tables) -> DataFrame:
     policy = t.policy.withColumns(
         {"created": F.when(F.pmod("policy_id", F.lit(3)) != 0, F.date_add("start_date", 5)), "policy_type": F.col("charge_type").cast("string")}
     )
-    return M.sports_policies(policy, t.product, sport_customers(t))
+    return M.sports_policies(policy, t.product, sport_customers(t), "体育部")

@@ -10,13 +10,11 @@ from pyspark.sql import functions as F
 from coverlake.adapters import AS_OF, Tables
 from coverlake.operators import premium as P
 from coverlake.operators import risk as R
-from coverlake.operators.timeline import calendar
 from coverlake.oracle import CTES, TODAY, half_up
 from coverlake.plans.claims import work, work_claim
 from coverlake.plans.premium import ledger
 from coverlake.registry import query
 
-CALENDAR = (date(1994, 1, 1), date(2003, 12, 31))
 SINCE = date(2000, 1, 1)
 
 CTES["x_monitor_days"] = f"""
@@ -78,16 +76,16 @@ LEFT JOIN (SELECT policy_id, sum(payable) AS payable, count(case_no) AS cases, s
   FROM d_claim GROUP BY 1) c ON c.policy_id = p.policy_id"""
 
 
-def days(t: Tables) -> DataFrame:
-    return calendar(t.spark, *CALENDAR)
-
-
 def group_cover(t: Tables) -> DataFrame:
     return P.clamped_cover(t.insured, t.policy, carry=("channel", "insurer"))
 
 
 def monitor(t: Tables) -> DataFrame:
-    return R.risk_monitor(t.policy, group_cover(t), ledger(t), t.claim, days(t), AS_OF)
+    return R.risk_monitor(t.policy, group_cover(t), ledger(t), t.claim, AS_OF)
+
+
+def monitor_today(t: Tables) -> DataFrame:
+    return R.risk_monitor_today(t.policy, P.clamped_cover(t.insured, t.policy), ledger(t), t.claim, AS_OF)
 
 
 def policy_sales(t: Tables) -> DataFrame:
@@ -99,7 +97,7 @@ def policy_sales(t: Tables) -> DataFrame:
 
 def target(t: Tables) -> DataFrame:
     c = P.clamped_cover(t.insured, t.policy)
-    earned = P.earned_between(c, date(1900, 1, 1), AS_OF, "earned_premium").join(
+    earned = P.earned_between(c, None, AS_OF, "earned_premium").join(
         P.earned_between(c, SINCE, AS_OF, "earned_since"), "policy_id", "left"
     )
     exposure = P.exposure_to_date(c, AS_OF).withColumnRenamed("person_count", "person_count_days")
@@ -152,7 +150,7 @@ SELECT p.channel, strftime(d.day, '%Y') || '-T' || lpad(CAST((month(d.day) - 1)
 FROM x_daily_premium d JOIN d_policy p ON p.policy_id = d.policy_id
 LEFT JOIN x_claim_daily c ON c.policy_id = d.policy_id AND c.day = d.day GROUP BY 1, 2, 3""")
 def target_tracking_months(t: Tables) -> DataFrame:
-    return R.target_months(group_cover(t), t.claim, days(t), "channel")
+    return R.target_months(group_cover(t), t.claim, "channel")
 
 
 _SHARES = ["one_rate", "two_rate", "three_rate", "four_rate", "five_rate", "six_rate", "man_rate", "woman_rate",
@@ -181,7 +179,7 @@ LEFT JOIN (SELECT policy_id, sum(premium) AS earned_premium FROM x_daily_premium
 def claim_analysis(t: Tables) -> DataFrame:
     c = P.clamped_cover(t.insured, t.policy)
     exposure = P.exposure_to_date(c, AS_OF).withColumnRenamed("person_count", "person_days")
-    earned = P.earned_between(c, date(1900, 1, 1), AS_OF, "earned_premium")
+    earned = P.earned_between(c, None, AS_OF, "earned_premium")
     result = R.claim_analysis(t.policy, work(t), t.claim, exposure, earned, SINCE)
     return result.withColumns({s: F.round(s, 6) for s in _SHARES})
 
@@ -226,8 +224,7 @@ LEFT JOIN today t ON t.channel = s.channel LEFT JOIN d_watch_list w ON w.ent_nam
 def channel_overlap(t: Tables) -> DataFrame:
     sellers = policy_sales(t).select("policy_id", F.col("channel_name").alias("channel"), "biz_operator", "salesman")
     people = t.insured.join(sellers, "policy_id")
-    today = monitor(t).where(F.col("day") == F.lit(AS_OF))
-    out = R.channel_overlap(people, today, t.watch_list)
+    out = R.channel_overlap(people, monitor_today(t), t.watch_list)
     return out.withColumns({c: F.round(c, 6) for c in ("overlap", "loss_rate", "risk_rate")})
 
 

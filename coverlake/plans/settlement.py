@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.adapters import MONEY, Tables
+from coverlake.functions.text import MASK
 from coverlake.operators import master as M
 from coverlake.operators import settlement as S
 from coverlake.oracle import CTES
@@ -217,7 +218,12 @@ def sales_performance(t: Tables) -> DataFrame:
     return performance(t)
 
 
-@query("masked_sample", "channel_name:str accounting_day:str category:str premium:double salesman:str department:str team_name:str sales_group:str")
+@query("masked_sample", "channel_name:str accounting_day:str category:str premium:double salesman:str department:str team_name:str sales_group:str", f"""
+WITH h AS (SELECT *, CAST(premium * 10000 AS HUGEINT) * (CAST('0x' || substr(md5(concat_ws('|', '7', channel_name, accounting_day, category, salesman)), 1, 7) AS BIGINT) % 1000000) AS v
+  FROM x_performance)
+SELECT * EXCLUDE (channel_name, premium, v), sign(v) * ((abs(v) * 2 + 1000000) // 2000000) / 10000 AS premium,
+  CASE WHEN length(channel_name) > 3 THEN '{MASK}' || substr(channel_name, 3) WHEN length(channel_name) >= 2 THEN '{MASK}' || substr(channel_name, 2) ELSE channel_name END AS channel_name
+FROM h""")
 def masked_sample(t: Tables) -> DataFrame:
     return S.masked_sample(performance(t), seed=7)
 
@@ -228,9 +234,9 @@ WITH l AS (SELECT w.salesman, w.team_name, t.group_name, w.day, w.preserve_id, w
   FROM x_ledger_wide w JOIN d_sales s ON s.ent_name = w.holder_name LEFT JOIN d_sales_team t ON t.sale_name = w.salesman WHERE consumer_new_old = 'new'),
 d AS (SELECT salesman, team_name, group_name, day, count(*) FILTER (preserve_id IS NULL) AS policies, count(preserve_id) AS endorsements, sum(add_premium) AS add_premium,
   sum(del_premium) AS del_premium, sum(add_person_count) AS add_person_count, sum(del_person_count) AS del_person_count, sum(sum_person) AS sum_person, sum(sum_premium) AS sum_premium FROM l GROUP BY 1, 2, 3, 4),
-v AS (SELECT s_name AS salesman, 'T-' || event_type AS team_name, CAST(ts AS DATE) - 8500 AS day, count(*) AS contacts,
+v AS (SELECT s_name AS salesman, 'T-' || CAST(s_suppkey % 5 AS VARCHAR) AS team_name, CAST(ts AS DATE) - 8500 AS day, count(*) AS contacts,
   count(*) FILTER (event_type = 'view') AS visitors, count(*) FILTER (event_type = 'click') AS intended
-  FROM events JOIN supplier ON s_suppkey = user_id % 100 WHERE event_type IN ('view') GROUP BY 1, 2, 3)
+  FROM events JOIN supplier ON s_suppkey = user_id % 100 GROUP BY 1, 2, 3)
 SELECT coalesce(d.salesman, v.salesman) AS salesman, coalesce(d.team_name, v.team_name) AS team_name, coalesce(d.group_name, t.group_name) AS group_name, coalesce(d.day, v.day) AS day,
   coalesce(policies, 0) AS policies, coalesce(endorsements, 0) AS endorsements, coalesce(add_premium, 0) AS add_premium, coalesce(del_premium, 0) AS del_premium,
   coalesce(add_person_count, 0) AS add_person_count, coalesce(del_person_count, 0) AS del_person_count, coalesce(sum_person, 0) AS sum_person, coalesce(sum_premium, 0) AS sum_premium,
@@ -242,9 +248,10 @@ def sales_process(t: Tables) -> DataFrame:
     moved = ledger_wide(t).join(new, "holder_name", "left_semi").join(groups, "salesman", "left")
     seller = t.raw("supplier").select("s_suppkey", F.col("s_name").alias("salesman"))
     visits = (
-        t.raw("events").where("event_type = 'view'").join(seller, F.pmod("user_id", F.lit(100)) == F.col("s_suppkey"))
-        .select("salesman", F.concat(F.lit("T-"), "event_type").alias("team_name"), F.date_sub(F.col("ts").cast("date"), 8500).alias("day"),
-                F.lit(1).alias("contacts"), F.lit(1).alias("visitors"), F.lit(0).alias("intended"))
+        t.raw("events").join(seller, F.pmod("user_id", F.lit(100)) == F.col("s_suppkey"))
+        .select("salesman", F.concat(F.lit("T-"), F.pmod("s_suppkey", F.lit(5)).cast("string")).alias("team_name"),
+                F.date_sub(F.col("ts").cast("date"), 8500).alias("day"), F.lit(1).alias("contacts"),
+                (F.col("event_type") == "view").cast("int").alias("visitors"), (F.col("event_type") == "click").cast("int").alias("intended"))
     )
     return S.sales_process(moved, visits, t.sales_team)
 

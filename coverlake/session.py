@@ -15,14 +15,14 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # HotSpot never compiles a method of more than 8000 bytes; a wide stage runs faster as several smaller ones
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+#: HotSpot never compiles a method of more than 8000 bytes; a wide stage can run faster as several smaller ones.
+SMALL_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
-def tune(spark: SparkSession) -> SparkSession:
+def tune(spark: SparkSession, small_methods: bool = False) -> SparkSession:
     """Apply the runtime settings to an existing session; cluster sizing is left as the cluster set it."""
-    for key, value in RUNTIME.items():
+    for key, value in (RUNTIME | (SMALL_METHODS if small_methods else {})).items():
         spark.conf.set(key, value)
     return spark
 
@@ -38,7 +38,7 @@ def local_session(app: str = "coverlake", cores: str = "*", shuffle_partitions:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    spark = tune(builder.getOrCreate())
+    spark = tune(builder.getOrCreate(), small_methods=True)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -36,8 +36,11 @@ def read_by_id_range(source: DataFrameReader, table: str, column: str, low: int,
 
 
 def month_predicates(column: str, months: Sequence[date]) -> list[str]:
-    """One predicate per month and one for rows without a month, so that no row is lost."""
-    return [f"date_format({column}, '%Y-%m') = '{m:%Y-%m}'" for m in months] + [f"{column} is null"]
+    """One predicate per month, one for all other months and one for rows without a date, so that no row is lost."""
+    listed = ", ".join(f"'{m:%Y-%m}'" for m in months)
+    each = [f"date_format({column}, '%Y-%m') = '{m:%Y-%m}'" for m in months]
+    rest = [f"date_format({column}, '%Y-%m') not in ({listed})"] if months else [f"{column} is not null"]
+    return [*each, *rest, f"{column} is null"]
 
 
 def read_by_months(spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: dict[str, str]) -> DataFrame:

@@ -27,24 +27,44 @@ ENVELOPE = T.StructType(
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
 
 
-def parse_envelope(messages: DataFrame, table: ReplicatedTable, value: str = "value") -> DataFrame:
-    """Typed change rows of one table from JSON envelopes.
+def classified(messages: DataFrame, table: ReplicatedTable, value: str = "value") -> DataFrame:
+    """Typed rows of one table from JSON envelopes, each with ``reason`` and the ``raw`` text where something is wrong.
 
     Routing looks at the parsed table and type, never at the raw text, and every row of a message counts. ``seq`` is the
-    envelope's timestamp, then the row's place in the message.
+    envelope's timestamp, then the row's place in the message. ``reason`` is ``text`` for what is no envelope, ``key`` for a
+    row whose key is missing or cannot be read, ``value`` for one with another value that cannot (that value is null).
     """
-    m = F.col("m")
-    parsed = messages.select(F.from_json(F.col(value), ENVELOPE).alias("m")).where(
-        (m["table"] == table.name) & m["type"].isin(CHANGE_TYPES)
+    m, row = F.col("m"), F.col("row")
+    parsed = messages.select(F.col(value).alias("raw"), F.from_json(F.col(value), ENVELOPE).alias("m"))
+    unreadable = m.isNull() | m["table"].isNull() | m["type"].isNull()
+    mine = (m["table"] == table.name) & m["type"].isin(CHANGE_TYPES)
+    rows = parsed.where(unreadable | mine).select(
+        "raw", unreadable.alias("unreadable"), m["type"].alias("type"), m["ts"].alias("ts"), F.posexplode_outer(m["data"]).alias("place", "row")
     )
-    rows = parsed.select(m["type"].alias("type"), m["ts"].alias("ts"), F.posexplode(m["data"]).alias("place", "row"))
+    typed = {c: row[c].try_cast(kind) for c, kind in table.columns.items()}
+    lost = F.lit(False)
+    for c in typed:
+        lost = lost | (row[c].isNotNull() & typed[c].isNull())
+    reason = F.when(F.col("unreadable"), "text").when(typed[table.key].isNull(), "key").when(lost, "value")
     return rows.select(
         F.struct(F.col("ts").alias("ts"), F.col("place").cast("long").alias("place")).alias("seq"),
         "type",
-        *[F.col("row")[c].try_cast(kind).alias(c) for c, kind in table.columns.items()],
+        *[c.alias(n) for n, c in typed.items()],
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
     )
 
 
+def usable(rows: DataFrame) -> DataFrame:
+    """The changes among classified rows."""
+    return rows.where(F.col("reason").isNull() | (F.col("reason") == "value")).drop("reason", "raw")
+
+
+def parse_envelope(messages: DataFrame, table: ReplicatedTable, value: str = "value") -> DataFrame:
+    """Typed change rows of one table from JSON envelopes."""
+    return usable(classified(messages, table, value))
+
+
 def apply_changes(changes: DataFrame, table: ReplicatedTable) -> DataFrame:
     """Current rows of a replicated table."""
     return fold_changes(changes, table.key, [c for c in table.update if c != table.key])
@@ -70,19 +90,34 @@ def append_changes(changes: DataFrame, batch_id: int, path: str) -> None:
 
 
 def start(messages: DataFrame, table: ReplicatedTable, path: str, checkpoint: str, once: bool = False):
-    """Start the stream of one table. An error fails the batch, which is then replayed from the checkpoint."""
+    """Start the stream of one table. A batch is evaluated and written once; one that fails is replayed from the checkpoint.
+
+    Messages and rows that cannot be read go to the same log with their raw text, see :func:`rejects`.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            append_changes(batch, batch_id, path)
+        append_changes(batch, batch_id, path)
 
-    writer = parse_envelope(messages, table).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    rows = classified(messages, table)
+    messages.sparkSession.createDataFrame([], rows.schema).withColumn("batch_id", F.lit(0)).write.mode("ignore").partitionBy("batch_id").parquet(f"{path}/changes")
+    writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
 
 
 def current(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame:
-    """The table as of the last complete batch."""
-    return apply_changes(spark.read.parquet(f"{path}/changes").drop("batch_id"), table)
+    """The table as of the last complete batch; empty before the first."""
+    return apply_changes(usable(_log(spark, table, path)), table)
+
+
+def rejects(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame:
+    """What could not be read, wholly or in part: batch, reason and raw text."""
+    return _log(spark, table, path).where("reason is not null").select("batch_id", "reason", "raw")
+
+
+def _log(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame:
+    columns = ", ".join(f"`{c}` {kind}" for c, kind in table.columns.items())
+    schema = f"seq struct<ts: bigint, place: bigint>, type string, {columns}, reason string, raw string, batch_id int"
+    return spark.read.schema(schema).parquet(f"{path}/changes")
 
 
 def compact(changes: DataFrame, table: ReplicatedTable) -> DataFrame:

@@ -48,7 +48,9 @@ def test_label_table(spark, rows, tmp_path):
 
 def test_month_predicates_lose_no_row():
     got = jdbc.month_predicates("t", [date(2020, 1, 1), date(2020, 2, 1)])
-    assert len(got) == 3 and got[-1] == "t is null"
+    assert len(got) == 4 and got[-1] == "t is null"
+    assert got[2] == "date_format(t, '%Y-%m') not in ('2020-01', '2020-02')"
+    assert jdbc.month_predicates("t", []) == ["t is not null", "t is null"]
 
 
 def session(folder, master):

@@ -39,6 +39,8 @@ def test_envelopes_are_routed_by_their_fields_and_every_row_counts(spark):
 def stream(spark, folder, batches):
     feed = folder / "feed"
     feed.mkdir()
+    if not batches:
+        return None
     for batch in batches:
         (feed / f"{len(list(feed.iterdir()))}.txt").write_text("\n".join(batch))
         source = spark.readStream.text(str(feed))
@@ -46,6 +48,19 @@ def stream(spark, folder, batches):
     return cdc.current(spark, RULE, str(folder / "table"))
 
 
+def test_what_cannot_be_read_is_kept_and_an_empty_log_is_empty(spark, tmp_path):
+    bad = [message(7, "INSERT", {"id": "abc", "rule_name": "z"}), message(8, "INSERT", {"rule_name": "z"}), '{"data": 3}', "not json"]
+    stream(spark, tmp_path, [])
+    feed = spark.readStream.schema("value string").text(str(tmp_path / "feed"))
+    cdc.start(feed, RULE, str(tmp_path / "table"), str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert cdc.current(spark, RULE, str(tmp_path / "table")).collect() == []
+    (tmp_path / "feed" / "a.txt").write_text("\n".join([*MESSAGES, *bad]))
+    cdc.start(feed, RULE, str(tmp_path / "table"), str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert state(cdc.current(spark, RULE, str(tmp_path / "table"))) == WANT
+    got = sorted((r.reason, r.raw) for r in cdc.rejects(spark, RULE, str(tmp_path / "table")).collect())
+    assert got == sorted([("key", bad[0]), ("key", bad[1]), ("text", bad[2]), ("text", bad[3]), ("text", "not json"), ("value", MESSAGES[0])])
+
+
 def test_one_batch_and_many_batches_agree(spark, tmp_path_factory):
     one = stream(spark, tmp_path_factory.mktemp("one"), [MESSAGES])
     many = stream(spark, tmp_path_factory.mktemp("many"), [[m] for m in MESSAGES])

@@ -60,6 +60,19 @@ def test_previous_in_time_breaks_ties_on_the_id(rows):
     assert got == {5: None, 7: 5, 1: 7, 2: None}
 
 
+def test_previous_in_time_keeps_every_row(rows):
+    many = [("a", D("2020-01-02"), 3 * k) for k in range(9000)]
+    data = [("a", None, 4), ("a", None, 9), (None, D("2020-01-01"), 1), (None, None, 2), ("a", D("2020-01-01"), 5), *many]
+    got = {(r.k, r.d, r.id): r.before for r in T.previous_in_time(rows("k string, d date, id int", data), "k", "d", "id", "before").collect()}
+    assert len(got) == len(data)
+    assert got["a", None, 4] is None and got["a", None, 9] == 4 and got["a", D("2020-01-01"), 5] == 9
+    assert got[None, D("2020-01-01"), 1] is None and got[None, None, 2] is None
+    assert got["a", D("2020-01-02"), 0] == 5 and all(got["a", D("2020-01-02"), 3 * k] == 3 * k - 3 for k in range(1, 9000))
+    text = rows("k string, d date, id string", [("a", D("2020-01-01"), i) for i in ("ab", "abcdefgh1", "ac", "abcdefgh", "b")])
+    assert {r.id: r.before for r in T.previous_in_time(text, "k", "d", "id", "before").collect()} == {
+        "ab": None, "abcdefgh": "ab", "abcdefgh1": "abcdefgh", "ac": "abcdefgh1", "b": "ac"}
+
+
 def test_calendar_labels(spark):
     day = T.calendar(spark, D("2020-02-28"), D("2020-03-02")).where("c_day_id = '20200229'").first()
     assert (day.week_day, day.c_month_id, day.c_month_end_date, day.c_ten_day_id, day.c_quarter_id, day.d_last_month_day) == (
