@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coverlake.functions.text import md5_trimmed
+
 INSERTED, UPDATED = 0, 1
 
 
@@ -91,8 +93,8 @@ def pii_vault(rows: DataFrame, stored: DataFrame, as_of: Column) -> DataFrame:
         "mobile",
         "business_line",
         month.alias("month"),
-        F.md5(F.trim("cert_no")).alias("cert_md5"),
-        F.md5(F.trim("mobile")).alias("mobile_md5"),
+        md5_trimmed(F.col("cert_no")).alias("cert_md5"),
+        md5_trimmed(F.col("mobile")).alias("mobile_md5"),
     ).distinct()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.functions import certificate as cert
-from coverlake.functions.text import chinese_only, clean, no_line_breaks
+from coverlake.functions.text import chinese_only, clean, md5_trimmed, no_line_breaks
 from coverlake.operators.claims import claims_in_cover
 from coverlake.operators.premium import DIRECT_CHANNEL
 
@@ -23,6 +23,7 @@ SPORT_LINE = "体育"
 DISABILITY_SCALE = {"K1": "0.01", "K2": "0.05", "K3": "0.1"}
 HEADCOUNT_BAND = {"K1": "5-100", "K2": "101-300", "K3": "301-500", "K4": ":501人及以上"}
 INSURED_NUMBER_BAND = {"1": "1-50", "2": "51-500", "3": "501以上"}
+YES_NO = {"1": "Y", "0": "N"}
 PROFESSION_CODE = {"K2": "1-3类", "K3": "1-4类", "K4": "5类"}
 
 
@@ -147,7 +148,7 @@ def enterprise_contacts(one: DataFrame, two: DataFrame) -> DataFrame:
     """Distinct contact people of enterprises in both systems."""
     whole = one.unionByName(two).where(F.length("ent_name") > 0)
     return whole.select(
-        F.md5(F.trim("ent_name")).alias("ent_id"), clean(F.col("contact")).alias("contact"), clean(F.col("mobile")).alias("mobile")
+        md5_trimmed(F.col("ent_name")).alias("ent_id"), clean(F.col("contact")).alias("contact"), clean(F.col("mobile")).alias("mobile")
     ).distinct()
 
 
@@ -239,6 +240,9 @@ def work_grade_conform(catalogues: Sequence[DataFrame]) -> DataFrame:
         F.coalesce(coded(F.col("profession_code"), PROFESSION_CODE, keep_unknown=False), F.col("profession_type")).alias("profession_type"),
         coded(F.col("disability_scale"), DISABILITY_SCALE).alias("disability_scale"),
         coded(F.col("min_num"), HEADCOUNT_BAND).alias("headcount_band"),
+        coded(F.col("insured_number"), INSURED_NUMBER_BAND).alias("insured_number_band"),
+        coded(F.col("join_social"), YES_NO, keep_unknown=False).alias("join_social"),
+        coded(F.col("is_commission"), YES_NO).alias("is_commission"),
     )
 
 

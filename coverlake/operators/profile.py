@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.functions import certificate as cert
-from coverlake.functions.dates import day_gap, ride_bucket, weekday_monday_first
+from coverlake.functions.dates import day_gap, is_school_age, ride_bucket, weekday_monday_first
 from coverlake.functions.text import drop_empty
 
 MONEY = "decimal(14,4)"
@@ -121,7 +121,7 @@ def person_children(
         first.unionByName(second)
         .distinct()
         .withColumn("age", age)
-        .withColumn("school", F.when(F.col("age").between(6, 15), "上学").otherwise("未上学"))
+        .withColumn("school", F.when(is_school_age(F.col("age")), "上学").otherwise("未上学"))
     )
 
 

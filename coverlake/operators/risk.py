@@ -133,7 +133,11 @@ def class_mix(work: DataFrame) -> DataFrame:
 def risk_features(
     policy: DataFrame, work: DataFrame, claim: DataFrame, earned: DataFrame, insured: DataFrame
 ) -> DataFrame:
-    """Per policy: class counts and the cases, earned premium, people and pay of its predecessors 1, 2 and 3 back."""
+    """Per policy: class counts and the cases, earned premium, people and pay of its predecessors 1, 2 and 3 back.
+
+    The chain is followed on ids alone. Each policy then asks one table of facts for itself and its three predecessors,
+    so the facts are built and shuffled once.
+    """
     claims = claim.groupBy("policy_id").agg(F.count("case_no").alias("cases"), F.sum("payable").alias("payable"))
     people = insured.groupBy("policy_id").agg(F.count("cert_no").alias("people"))
     own = (
@@ -144,19 +148,26 @@ def risk_features(
         .join(class_mix(work), "policy_id", "left")
     )
 
-    def back(n: int, **columns: str) -> DataFrame:
-        return own.select(
-            F.col("policy_id").alias(f"id_{n}"), F.col("predecessor_id").alias(f"before_{n}"), *[F.col(c).alias(a) for a, c in columns.items()]
-        )
-
-    one = back(1, one_cases="cases", one_earned="earned_premium", parent_work_counts="work_counts", parent_three_risk="three_risk")
-    two = back(2, two_people="people")
-    three = back(3, three_payable="payable").drop("before_3")
-    return (
-        own.join(one, F.col("predecessor_id") == F.col("id_1"), "left")
-        .join(two, F.col("before_1") == F.col("id_2"), "left")
-        .join(three, F.col("before_2") == F.col("id_3"), "left")
-        .drop("id_1", "id_2", "id_3", "before_1", "before_2")
+    links = policy.select("policy_id", "predecessor_id")
+    first, second = (links.select(F.col("policy_id").alias(f"id_{n}"), F.col("predecessor_id").alias(f"before_{n}")) for n in (1, 2))
+    chain = (
+        links.join(first, F.col("predecessor_id") == F.col("id_1"), "left").join(second, F.col("before_1") == F.col("id_2"), "left")
+    )
+    steps = ["policy_id", "predecessor_id", "before_1", "before_2"]
+    asked = chain.select(
+        "policy_id", F.inline(F.array(*[F.struct(F.lit(k).alias("back"), F.col(c).alias("id")) for k, c in enumerate(steps)]))
+    ).where(F.col("id").isNotNull())
+
+    def at(back: int, column: str, name: str) -> Column:
+        return F.max(F.when(F.col("back") == back, F.col(column))).alias(name)
+
+    looked_up = {
+        "one_cases": (1, "cases"), "one_earned": (1, "earned_premium"), "parent_work_counts": (1, "work_counts"),
+        "parent_three_risk": (1, "three_risk"), "two_people": (2, "people"), "three_payable": (3, "payable"),
+    }
+    facts = own.withColumnRenamed("policy_id", "id")
+    return asked.join(facts, "id").groupBy("policy_id").agg(
+        *[at(0, c, c) for c in own.columns if c != "policy_id"], *[at(k, c, name) for name, (k, c) in looked_up.items()]
     )
 
 

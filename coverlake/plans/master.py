@@ -215,10 +215,14 @@ def endorsement_people(t: Tables) -> DataFrame:
     return M.endorsement_people(people.drop("policy_id").distinct(), headers, t.insured.select("policy_id", "insured_id", "cert_no").distinct())
 
 
-@query("work_grade_conform", "policy_id:long profession_type:str disability_scale:str headcount_band:str", """
+@query("work_grade_conform", "policy_id:long profession_type:str disability_scale:str headcount_band:str insured_number_band:str join_social:str "
+       "is_commission:str", """
 SELECT policy_id, CASE policy_id % 5 WHEN 2 THEN '1-3类' WHEN 3 THEN '1-4类' WHEN 4 THEN '5类' ELSE coalesce(nullif(profession_type, ''), 'X') END AS profession_type,
   CASE policy_id % 3 WHEN 0 THEN '0.05' WHEN 1 THEN 'own' ELSE '0.1' END AS disability_scale,
-  CASE policy_id % 2 WHEN 0 THEN '101-300' ELSE ':501人及以上' END AS headcount_band FROM d_work_grade""")
+  CASE policy_id % 2 WHEN 0 THEN '101-300' ELSE ':501人及以上' END AS headcount_band,
+  CASE policy_id % 4 WHEN 1 THEN '1-50' WHEN 2 THEN '51-500' WHEN 3 THEN '501以上' ELSE '0' END AS insured_number_band,
+  CASE policy_id % 3 WHEN 1 THEN 'Y' WHEN 0 THEN 'N' END AS join_social,
+  CASE policy_id % 3 WHEN 1 THEN 'Y' WHEN 0 THEN 'N' ELSE '2' END AS is_commission FROM d_work_grade""")
 def work_grade_conform(t: Tables) -> DataFrame:
     """Four catalogues that know different columns of a policy's plan."""
     i, none = F.col("policy_id"), F.lit(None).cast("string")
@@ -228,9 +232,10 @@ def work_grade_conform(t: Tables) -> DataFrame:
         {"profession_code": codes},
         {"profession_type": F.when(F.length("profession_type") > 0, F.col("profession_type"))},
         {"disability_scale": F.when(F.pmod(i, F.lit(3)) == 0, "K2").when(F.pmod(i, F.lit(3)) == 1, "own"), "profession_type": F.lit("X")},
-        {"disability_scale": F.lit("K3"), "min_num": F.when(F.pmod(i, F.lit(2)) == 0, "K2").otherwise("K4")},
+        {"disability_scale": F.lit("K3"), "min_num": F.when(F.pmod(i, F.lit(2)) == 0, "K2").otherwise("K4"),
+         "insured_number": F.pmod(i, F.lit(4)).cast("string"), "join_social": F.pmod(i, F.lit(3)).cast("string"), "is_commission": F.pmod(i, F.lit(3)).cast("string")},
     ]
-    columns = ["profession_code", "profession_type", "disability_scale", "min_num"]
+    columns = ["profession_code", "profession_type", "disability_scale", "min_num", "insured_number", "join_social", "is_commission"]
     return M.work_grade_conform([grade.select("policy_id", F.lit(1).alias("row_id"), *[layer.get(c, none).alias(c) for c in columns]) for layer in layers])
 
 
