@@ -18,19 +18,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and go on from there. A lost executor costs a reread, not a rerun.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; one is set only where that is unset.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """The same as a Parquet table in the shared folder: smaller than a checkpoint, and its size is known to the planner."""
+    """Write the rows as a Parquet table to the shared folder and go on from there: that cuts the lineage, so a lost
+    executor costs a reread, not a rerun. Unlike a checkpoint it is computed once, compressed, and known to the planner by
+    its size. The folder is the one the cluster names in ``spark.checkpoint.dir``.
+    """
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -68,7 +60,7 @@ def components(edges: DataFrame) -> DataFrame:
     length of chains. ``root`` is the smallest node. Minima are pre-aggregated before their shuffle and joined back, so
     a node with very many neighbours is never gathered in one task. Nodes without an edge do not appear.
     """
-    pairs = cut(
+    pairs = stored(
         edges.filter("a <> b")
         .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
         .distinct()
@@ -86,7 +78,7 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("hi > lo")
             .distinct()
         )
-        pairs = cut(small)
+        pairs = stored(small)
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if seen == state:
             break

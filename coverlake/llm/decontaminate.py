@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.common import cut
+from coverlake.llm.common import stored
 from coverlake.llm.words import SIGNS, blocks, mix, stretch
 
 MASKS = ("11010111", "111100000101")
@@ -185,10 +185,10 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
         F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_hash"),
         F.coalesce(docs[text_col], F.lit("")).alias("text"),
     )
-    known = cut(item_seeds(items, item_col, item_text))
+    known = stored(item_seeds(items, item_col, item_text))
     reach = known.agg(F.max("item_pos")).first()[0]
     reach = (reach or 0) + max(map(len, MASKS)) + 1
-    found = cut(hits(base, seed_map(known), reach))
+    found = stored(hits(base, seed_map(known), reach))
     key = ["doc_id", "text_hash", "region"]
     candidates = (
         found.filter("seed is not null").join(known, "seed")

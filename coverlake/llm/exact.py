@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coverlake.llm.common import SPACES, cut, text_hash
+from coverlake.llm.common import SPACES, stored, text_hash
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 1_812_433_253)
@@ -141,16 +141,17 @@ def exact_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``n_bytes`` and ``text_hash`` of every row of ``docs``."""
     prints = fingerprints(docs, id_col, text_col, huge, chunk, prime)
-    prints = cut(prints.withColumn("row", F.monotonically_increasing_id()))  # fixed from here on, as the rows are written
+    prints = stored(prints.withColumn("row", F.monotonically_increasing_id()))  # fixed from here on, as the rows are written
     mixed = mixed_groups(docs, prints, id_col, text_col, chunk).withColumn("mixed", F.lit(True))
     key = [*KEY, "split"]
-    rows = cut(
+    rows = stored(
         prints.join(mixed, KEY, "left")
         .withColumn("split", F.when(F.col("mixed"), F.col("text_sha256")).otherwise(F.lit("")))
         .drop("mixed")
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
-    groups = rows.groupBy(*key).agg(first, F.count("*").alias("group_size"))
+    # written first, so that the join below is not bound to the grouping's partitions and a hot group can be split
+    groups = stored(rows.groupBy(*key).agg(first, F.count("*").alias("group_size")))
     return rows.join(groups, key).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),

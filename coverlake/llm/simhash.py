@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from coverlake.llm.common import components, cut, text_hash
+from coverlake.llm.common import components, stored, text_hash
 
 SEED = 42
 BITS = 64
@@ -99,8 +99,8 @@ def links(prints: DataFrame, distance: int, segments: int = 2) -> DataFrame:
 def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, segments: int) -> DataFrame:
     """``doc_id``, ``text_hash``, ``print``, ``root`` (of the component) and ``component_id`` of every row of ``docs``."""
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), text_hash(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
-    rows = cut(base.mapInArrow(_hash_rows(shingle), "doc_id long, text_hash long, print long"))
-    distinct = cut(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
+    rows = stored(base.mapInArrow(_hash_rows(shingle), "doc_id long, text_hash long, print long"))
+    distinct = stored(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct.select("print"), distance, segments))
     named = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
