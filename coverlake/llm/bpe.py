@@ -39,11 +39,11 @@ PATTERN = (
 LEAF = 256
 HUGE = 1 << 22
 #: Chunks whose tokens a worker remembers; it starts afresh beyond, which changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Lengths in bytes up to which pre-tokens are merged side by side, and how many at a time.
 WIDTHS = (8, 16, 32, 64)
-_MERGED = 20_000
-_ROWS = 512
+_MERGED = 4_000
+_ROWS = 256
 _NONE = 1 << 60
 
 
@@ -54,19 +54,27 @@ def byte_signs() -> list[str]:
     return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
 
 
+def token_bytes(file: dict) -> list[bytes]:
+    """The bytes of every token by its id."""
+    of_sign = {s: b for b, s in enumerate(byte_signs())}
+    texts = {k: bytes(map(of_sign.__getitem__, sign)) for sign, k in file["model"]["vocab"].items()}
+    texts |= {t["id"]: t["content"].encode() for t in file["added_tokens"]}
+    return [texts.get(k, b"") for k in range(max(texts) + 1)]
+
+
+def decoded(tokens: list[bytes], ids: bytes) -> str:
+    """The text of packed ids; what is not UTF-8 is replaced."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
 class Vocabulary:
     """Merges, tokens and special tokens of a byte-level BPE file."""
 
     def __init__(self, source: str) -> None:
         file = json.loads(source)
-        of_sign = {s: b for b, s in enumerate(byte_signs())}
         ids: dict[str, int] = file["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.tokens = [b""] * (1 + max([*ids.values(), *self.special.values()]))
-        for sign, k in ids.items():
-            self.tokens[k] = bytes(map(of_sign.__getitem__, sign))
-        for text, k in self.special.items():
-            self.tokens[k] = text.encode()
+        self.tokens = token_bytes(file)
         self.bytes = [ids[s] for s in byte_signs()]
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(file["model"]["merges"]):
@@ -222,8 +230,7 @@ class Vocabulary:
         return self.encode_many([text])[0]
 
     def decode(self, ids: bytes) -> str:
-        of = self.tokens.__getitem__
-        return b"".join(map(of, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return decoded(self.tokens, ids)
 
     # -- parts of huge texts
 
@@ -295,6 +302,12 @@ def vocabulary(source: str) -> Vocabulary:
     return Vocabulary(source)
 
 
+@lru_cache(maxsize=2)
+def tokens_of(source: str) -> list[bytes]:
+    """All that decoding needs: a worker that decodes holds no merges."""
+    return token_bytes(json.loads(source))
+
+
 def _shared(df: DataFrame, path: str):
     """The vocabulary file, read by the driver and sent to the workers."""
     with open(path, encoding="utf-8") as file:
@@ -378,9 +391,9 @@ def decode(coded: DataFrame, path: str, *keep: str) -> DataFrame:
     columns = [*keep, "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = vocabulary(source.value)
+        tokens = tokens_of(source.value)
         for batch in _slices(batches):
-            texts = [voc.decode(x) for x in batch.column("ids").to_pylist()]
+            texts = [decoded(tokens, x) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in columns), pa.array(texts, pa.string())], names=[*columns, "decoded"])
 
     schema = ", ".join(f"`{n}` {coded.schema[n].dataType.simpleString()}" for n in columns)
