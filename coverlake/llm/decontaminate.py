@@ -7,7 +7,9 @@ Seeds of both sides are joined; a bit map of the items' seeds, of fixed size, ke
 from being written at all, and the join is exact. Around each hit the two texts are laid side by side, and the longest
 stretch that begins and ends with equal words and has ``SIMILAR`` of its words equal is taken.
 
-A document holds an item if that stretch has ``WINDOW`` words, or covers an item that is shorter. Items of fewer than
+A document holds an item if that stretch has ``WINDOW`` words, or covers an item that is shorter. With ``ends``, where it is
+shorter because a word at an end was replaced, the ``WINDOW`` words (or the item) that lie beside each other count with
+their ends, if ``SIMILAR`` of them are equal. Items of fewer than
 ``LEAST`` words are too common to tell and are not searched. Items of ``LEAST`` to ``WINDOW`` - 1 words also get a mask
 without gaps, which finds them if ``LEAST`` words in a row are unchanged.
 
@@ -158,7 +160,17 @@ def _rows(batch: pa.RecordBatch, row: int, pos: np.ndarray, seed: np.ndarray, re
     )
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def beside(same: np.ndarray, size: int) -> tuple[int, int]:
+    """Place of ``size`` words, replaced ends included, with the most equal ones, if SIMILAR of them are; of equals the first."""
+    if len(same) < size:
+        return 0, 0
+    sums = np.concatenate([[0], np.cumsum(same)])
+    equal = sums[size:] - sums[:-size]
+    k = int(equal.argmax())
+    return (k, k + size) if equal[k] >= SIMILAR * size - 1e-9 else (0, 0)
+
+
+def _verify(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in FOUND.split(", ")]
     for batch in batches:
         out = []
@@ -170,16 +182,21 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             same = np.array([own[shift + k] == item[k] for k in range(low, high)])
             a, b = stretch(same, SIMILAR)
-            if b - a >= min(WINDOW, len(item)):
+            size = min(WINDOW, len(item))
+            if ends and b - a < size:
+                a, b = beside(same, size)
+            if b - a >= size:
                 d = r["diagonal"] + low
                 out.append([r["doc_id"], r["text_hash"], r["item_id"], d + a, d + b, low + a, low + b, int(same[a:b].sum()), len(item)])
         columns = zip(*out) if out else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=names)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def overlaps(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", ends: bool = False
+) -> DataFrame:
     """Documents that hold an item: ``doc_id``, ``text_hash``, ``item_id``, word positions of the stretch on both sides
-    (``from`` included, ``to`` not), ``matched`` words and ``item_words``."""
+    (``from`` included, ``to`` not), ``matched`` words and ``item_words``. ``ends``: a passage may begin or end with replaced words."""
     base = docs.select(
         docs[id_col].cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("text_hash"),
@@ -202,7 +219,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     checked = (
         c.join(r, same).select("c.*", "r.text").join(texts, F.col("item_id").eqNullSafe(F.col("id")))
         .select(*key, "item_id", "diagonal", "text", "item_text")
-        .mapInArrow(_verify, FOUND)
+        .mapInArrow(lambda batches: _verify(batches, ends), FOUND)
     )
     value = F.struct("doc_from", "doc_to", "item_from", "item_to", "matched", "item_words")
     longest = F.struct(F.col("doc_to") - F.col("doc_from"), "matched", -F.col("doc_from"), -F.col("item_from"))

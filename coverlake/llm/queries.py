@@ -58,7 +58,7 @@ def op6_lm_scores(spark, folder):
 
 
 def op7_decontamination(spark, folder):
-    return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ends=True)
 
 
 def op8_exact_dedup(spark, folder):

@@ -46,7 +46,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return rows_named(docs, overlaps(docs, table(spark, folder, "benchmark")), "left_anti")
+    return rows_named(docs, overlaps(docs, table(spark, folder, "benchmark"), ends=True), "left_anti")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

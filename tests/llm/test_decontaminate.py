@@ -85,3 +85,24 @@ def test_empty_tables(rows):
     items = rows("item_id long, text string", [(1, "one two three four five six")])
     assert d.overlaps(none, items).collect() == []
     assert d.overlaps(rows("doc_id long, text string", [(1, "a b")]), rows("item_id long, text string", [])).collect() == []
+
+
+def test_replaced_ends_do_not_hide_an_item(rows):
+    sizes = (8, 12, 13, 14, 20)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in sizes]
+    docs, want = [], {}
+    for n, item in items:
+        for k, gone in enumerate([(0,), (n - 1,), (0, n - 1)]):
+            words = [w if at not in gone else "other" for at, w in enumerate(item.split())]
+            start = 0 if n != 20 else 7 if k else 0  # of the longest only thirteen words
+            words = words[start : start + 13] if n == 20 else words
+            equal = sum(w != "other" for w in words)
+            docs.append((100 * n + k, " ".join(["before"] * 9 + words + ["after"] * 9)))
+            if equal >= d.SIMILAR * min(len(words), d.WINDOW):
+                want[100 * n + k, n] = equal
+    got = d.overlaps(rows("doc_id long, text string", docs), rows("item_id long, text string", items), ends=True).collect()
+    assert {(r.doc_id, r.item_id): r.matched for r in got} == want and len(want) == 14  # 6 of 8 words are too few
+    texts, by_id = dict(docs), dict(items)
+    for r in got:
+        own, item = texts[r.doc_id].split()[r.doc_from : r.doc_to], by_id[r.item_id].split()[r.item_from : r.item_to]
+        assert len(own) == len(item) >= min(13, r.item_words) and sum(a == b for a, b in zip(own, item)) == r.matched
