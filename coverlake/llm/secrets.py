@@ -1,7 +1,9 @@
 """Secret scan: candidates are found by form, and a random forest removes the false ones. DataFrame functions only.
 
-A candidate is a word of ``LEAST`` characters or more with a digit in it, taken out of quotes and of ``name=`` in front
-of it. It is described by its length, its kinds of characters and how they follow each other, the share of it that
+A word is taken out of quotes and of ``name=`` in front of it; a word of another form, as in JSON without white space, CSV
+rows or URLs, gives its ``name=value`` and ``name:value`` pairs, the password of ``user:password@``, keys of an issued form, and
+the fields between separators. Each is a candidate if it has ``LEAST`` characters or more and a digit, or, however
+short, a secret's name before it. It is described by its length, its kinds of characters and how they follow each other, the share of it that
 words of the corpus cover, marks in the document's path, and the words beside it. The forest learns from labelled
 findings: ``label`` is 1 for a true secret, 0 for a false alarm, null for unknown. ``review`` labels those findings whose form
 leaves no doubt; a team's own labels can be given instead. The dictionary is counted over all documents; the forest is
@@ -36,6 +38,14 @@ SECRET_WORDS = "pass|pwd|token|secret|key|auth|cred|bearer|private"
 OTHER_WORDS = "sha|md5|hash|commit|digest|checksum|uuid|guid|version|phone|tel|card|mail|http|order|isbn"
 TEST_PATHS = "test|example|sample|fixture|mock|demo|doc|lock|vendor"
 
+#: A secret's name and = or : at the end of the words before a value.
+ASSIGNED = rf"(?i)({SECRET_WORDS})[A-Za-z0-9_.-]*[\"']? ?(=>|[=:])$"
+#: Parts of a word: a name and its value, the password in a URL, a field between separators, keys of issued forms.
+PAIR = r"""([A-Za-z_][A-Za-z0-9_.-]*)["']?(?:=>|[=:])(?!//)["'(\[<]*([^"'(),;|&<>\[\]{}=:]+=*)"""
+LOGIN = r"://[^:/@]*:([^/@]+)@"
+FIELD = r"""[^,;|&?"'<>(){}\[\]]+"""
+ISSUED = r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
+
 FEATURES = [
     "length", "digits", "upper", "lower", "signs", "turns", "distinct", "hex", "sounds", "covered", "ats", "dots", "named",
     "secret_word", "other_word", "quoted", "test_path", "path_depth",
@@ -48,24 +58,55 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words = F.split(F.coalesce(docs[text_col], F.lit("")), r"[\x20\x09-\x0D]+")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), path.alias("path"), words.alias("words"))
     numbered = F.transform("words", lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
-    long = F.filter(numbered, lambda x: (F.length(x.word) >= LEAST) & x.word.rlike("[0-9]"))
 
-    def at(shift: int) -> Column:
-        return F.coalesce(F.get("words", F.col("w.pos") + shift), F.lit(""))
+    def at(pos: Column) -> Column:
+        return F.coalesce(F.get("words", pos), F.lit(""))
+
+    def assigned(x: Column) -> Column:
+        return F.concat_ws(" ", at(x.pos - 2), at(x.pos - 1)).rlike(ASSIGNED)
 
-    found = rows.select("doc_id", "path", "words", F.explode(long).alias("w"))
+    named = rf"(?i)({SECRET_WORDS})[A-Za-z0-9_.-]*[\"']?(=>|[=:])."
+    told = F.filter(numbered, lambda x: ((F.length(x.word) >= LEAST) & x.word.rlike("[0-9]")) | x.word.rlike(named) | x.word.rlike(LOGIN) | assigned(x))
+    found = rows.select("doc_id", "path", "words", F.explode(told).alias("w"))
+    w = F.col("w.word")
     form = r"""^[^A-Za-z0-9]*(?:([A-Za-z_][A-Za-z0-9_.-]*)[=:])?["'(\[<]*([A-Za-z0-9+/_.@=-]*[A-Za-z0-9])[^A-Za-z0-9]*$"""
-    value = F.regexp_extract("w.word", form, 2)
-    plain = F.regexp_replace("w.word", r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "")
-    return found.select(
-        "doc_id",
-        "path",
-        F.col("w.pos").cast("long").alias("pos"),
-        F.when(value != "", value).otherwise(plain).alias("value"),
-        F.regexp_extract("w.word", form, 1).alias("name"),
-        F.col("w.word").rlike("""["']""").cast("double").alias("quoted"),
-        F.lower(F.concat_ws(" ", at(-3), at(-2), at(-1), at(1))).alias("beside"),
-    ).filter(F.length("value") >= LEAST)
+    value = F.regexp_extract(w, form, 2)
+
+    def part(name: Column, text: Column) -> Column:
+        return F.struct(name.alias("name"), F.regexp_replace(text, r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "").alias("value"))
+
+    def every(text: Column, pattern: str, group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+    none = F.lit("")
+    rest = F.regexp_replace(w, LOGIN, "://")
+    pairs = F.zip_with(every(rest, PAIR, 1), every(rest, PAIR, 2), part)
+    logins = F.transform(every(w, LOGIN, 1), lambda v: F.struct(F.lit("password").alias("name"), v.alias("value")))
+    fields = F.transform(every(F.regexp_replace(rest, PAIR, ","), FIELD, 0), lambda v: part(none, v))
+    one = F.array(F.struct(F.regexp_extract(w, form, 1).alias("name"), value.alias("value")))
+    parts = F.when(value != "", one).otherwise(F.concat(logins, pairs, fields))
+    found = found.withColumn("parts", parts)
+    issued = F.filter(every(w, ISSUED, 0), lambda v: ~F.exists("parts", lambda p: p.value == v))
+    found = found.withColumn("parts", F.array_distinct(F.concat("parts", F.transform(issued, lambda v: F.struct(none.alias("name"), v.alias("value"))))))
+    p = F.col("w.pos")
+    return (
+        found.select("doc_id", "path", "words", "w", assigned(F.col("w")).alias("assigned"), F.explode("parts").alias("part"))
+        .filter("part.value <> ''")
+        .filter(
+            ((F.length("part.value") >= LEAST) & F.col("part.value").rlike("[0-9]"))
+            | F.lower("part.name").rlike(SECRET_WORDS)
+            | (F.col("assigned") & (F.col("part.name") == ""))
+        )
+        .select(
+            "doc_id",
+            "path",
+            p.cast("long").alias("pos"),
+            F.col("part.value").alias("value"),
+            F.col("part.name").alias("name"),
+            w.rlike("""["']""").cast("double").alias("quoted"),
+            F.lower(F.concat_ws(" ", at(p - 3), at(p - 2), at(p - 1), at(p + 1))).alias("beside"),
+        )
+    )
 
 
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -123,8 +164,12 @@ def review(found: DataFrame) -> DataFrame:
     v = F.col("value")
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]") & v.rlike("^[A-Za-z0-9+/_=-]{16,}$")
     keyed = F.lower("name").rlike(SECRET_WORDS) | F.col("beside").rlike(f"({SECRET_WORDS})[a-z_]*( ?[=:])")
-    true = v.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$") | (mixed & keyed)
-    false = v.rlike(r"^[^@]+@[^@]+\.[a-z]+$") | v.rlike(r"^[0-9.:/+-]+$") | v.rlike("^[a-z]+([-_./][a-z]+)*[0-9]{0,2}$") | v.rlike("^(https?|www)")
+    short = F.lower("name").rlike(SECRET_WORDS) & v.rlike("^(?=.*[0-9])(?=.*[A-Za-z])[^/@.]{6,15}$")
+    true = v.rlike(f"^{ISSUED}$") | (mixed & keyed) | short
+    plain = v.rlike("^[a-z]+([-_./][a-z]+)*[0-9]{0,2}$") & ~keyed
+    # an address with a long mixed part may hold a token: it is left open
+    address = v.rlike("^(https?|www|//)") & ~v.rlike("[/?&#=](?=[A-Za-z_+-]*[0-9])(?=[0-9_+-]*[A-Za-z])[A-Za-z0-9_+-]{16,}")
+    false = v.rlike(r"^[^@]+@[^@]+\.[a-z]+$") | v.rlike(r"^[0-9.:/+-]+$") | plain | address
     return found.withColumn("label", F.when(false, 0).when(true, 1))
 
 
@@ -153,14 +198,16 @@ def secret_scan(
 ) -> DataFrame:
     """Every candidate: ``doc_id``, ``pos``, ``value``, ``held_out``, ``score`` and ``predicted`` (1: a secret).
 
-    ``labels`` (``doc_id``, ``pos``, ``label``) are labelled findings; without them ``review`` labels.
+    ``labels`` (``doc_id``, ``pos``, ``label``, and ``value`` where a word has several) are labelled findings; without them
+    ``review`` labels.
     """
     found = stored(described(stored(candidates(docs, id_col, text_col, path_col)), dictionary(docs, text_col)))
     if labels is None:
         labelled = review(found)
     else:
-        own = labels.groupBy("doc_id", "pos").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most")
-        labelled = found.join(own.select("doc_id", "pos", "label"), ["doc_id", "pos"])
+        key = ["doc_id", "pos", *[c for c in ("value",) if c in labels.columns]]
+        own = labels.groupBy(*key).agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most")
+        labelled = found.join(own.select(*key, "label"), key)
     return judged(found, fit(labelled, rows)).select(
         "doc_id", "pos", "value", held_out("doc_id", FOLDS, HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )

@@ -68,3 +68,31 @@ def test_without_labels_or_rows_nothing_is_removed(rows):
 def test_dictionary_counts_the_whole_corpus(rows):
     df = rows("doc_id long, text string", [(k, "Word word rare" + str(k) + " é") for k in range(6)])
     assert {r.part for r in secrets.dictionary(df).select(F.col("part")).collect()} == {"word"}
+
+
+def test_candidates_within_words_and_after_secret_names(rows):
+    key = "AKIA" + "Z9" * 8
+    texts = [
+        ('{"user":"ann","password":"hunter2","api_key":"0a1b2c3d4e5f6a7b"}', {"hunter2", "0a1b2c3d4e5f6a7b"}),
+        (f"7,ann,{key},2024", {key}),
+        ("https://h.example/a?page=2&token=9f8e7d6c5b4a3f2e1d0c", {"9f8e7d6c5b4a3f2e1d0c"}),
+        ("postgres://ann:s3cr3tpw@db.example/x", {"s3cr3tpw"}),
+        ("a password=hunter2 b", {"hunter2"}),
+        ("a password: letmein b", {"letmein"}),
+        ('a secret = "correcthorsebattery" b', {"correcthorsebattery"}),
+        (f"see:{key}/x", {key}),
+        ("only words page=2 x:short", set()),
+    ]
+    got = {}
+    found = secrets.candidates(rows("doc_id long, text string", [(k, x) for k, (x, _) in enumerate(texts)])).collect()
+    for r in found:
+        got.setdefault(r.doc_id, set()).add(r.value)
+    for k, (text, want) in enumerate(texts):
+        assert want <= got.get(k, set()) and (want or k not in got), (text, got.get(k))
+
+
+def test_addresses_with_tokens_are_not_taught_as_false(rows):
+    df = rows("doc_id long, text string", [(1, "https://h.example/s/9f8e7d6c5b4a3f2e1d0c"), (2, "https://h.example/page/12345"), (3, "password=hunter2")])
+    words = rows("part string", [])
+    got = {r.doc_id: r.label for r in secrets.review(secrets.described(secrets.candidates(df), words)).collect()}
+    assert got == {1: None, 2: 0, 3: 1}
