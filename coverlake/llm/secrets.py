@@ -112,8 +112,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Lower-case words (``part``) that the whole corpus has often enough, counted per task before the shuffle."""
     low, high = WORD_LENGTH
-    words = docs.select(F.explode(F.split(F.lower(docs[text_col]), " ")).alias("part"))
-    words = words.filter(F.octet_length("part").between(low, high) & F.col("part").rlike("^[a-z]+$"))
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(docs[text_col]), F.lit("[a-z]+"), F.lit(0))).alias("part"))
+    words = words.filter(F.octet_length("part").between(low, high))
     return words.groupBy("part").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_COUNT).select("part")
 
 

@@ -96,3 +96,8 @@ def test_addresses_with_tokens_are_not_taught_as_false(rows):
     words = rows("part string", [])
     got = {r.doc_id: r.label for r in secrets.review(secrets.described(secrets.candidates(df), words)).collect()}
     assert got == {1: None, 2: 0, 3: 1}
+
+
+def test_dictionary_counts_words_beside_other_white_space_and_signs(rows):
+    df = rows("doc_id long, text string", [(k, "river\nmill\tstone,(field) paper.\r\norder") for k in range(10)])
+    assert {r.part for r in secrets.dictionary(df).collect()} == {"river", "mill", "stone", "field", "paper", "order"}
