@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coverlake.llm import bpe
+from coverlake.llm.alignment import aligned
 from coverlake.llm.chat import format_chat, masked_text
 from coverlake.llm.common import table
 from coverlake.llm.decontaminate import overlaps
@@ -13,7 +14,7 @@ from coverlake.llm.ngram_lm import lm_scores
 from coverlake.llm.quality import quality
 from coverlake.llm.secrets import secret_scan
 from coverlake.llm.simhash import simhash_groups
-from coverlake.llm.stages import VOCABULARY
+from coverlake.llm.stages import PIECES, VOCABULARY
 from coverlake.llm.substrings import shared_passages
 from coverlake.llm.toxicity import toxicity
 
@@ -74,7 +75,11 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op9_secret_scan, op10_toxicity)}
+def op13_token_alignment(spark, folder):
+    return aligned(table(spark, folder, "documents"), VOCABULARY, PIECES)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op9_secret_scan, op10_toxicity, op13_token_alignment)}
 
 SQL = {
     "op5_chat_format": r"""

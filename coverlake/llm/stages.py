@@ -18,6 +18,7 @@ from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.simhash import representatives
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
