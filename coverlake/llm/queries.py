@@ -11,12 +11,14 @@ from coverlake.llm.common import table
 from coverlake.llm.decontaminate import overlaps
 from coverlake.llm.exact import exact_duplicates
 from coverlake.llm.ngram_lm import lm_scores
+from coverlake.llm.phrases import collocations
 from coverlake.llm.quality import quality
 from coverlake.llm.secrets import secret_scan
 from coverlake.llm.simhash import simhash_groups
 from coverlake.llm.stages import PIECES, VOCABULARY
 from coverlake.llm.substrings import shared_passages
 from coverlake.llm.toxicity import toxicity
+from coverlake.llm.vectors import near_vectors
 
 
 def op1_bpe(spark, folder):
@@ -75,11 +77,19 @@ def op10_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_phrases(spark, folder):
+    return collocations(table(spark, folder, "documents"))
+
+
+def op12_near_vectors(spark, folder):
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_token_alignment(spark, folder):
     return aligned(table(spark, folder, "documents"), VOCABULARY, PIECES)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op9_secret_scan, op10_toxicity, op13_token_alignment)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_simhash_near_dedup, op4_quality, op5_chat_format, op6_lm_scores, op7_decontamination, op8_exact_dedup, op9_secret_scan, op10_toxicity, op11_phrases, op12_near_vectors, op13_token_alignment)}
 
 SQL = {
     "op5_chat_format": r"""
@@ -108,6 +118,41 @@ SELECT conv_id,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
        CAST(sum(length(head) + length(body) + length(tail)) AS bigint) AS formatted_chars
 FROM b GROUP BY conv_id
+""",
+    "op11_phrases": r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+one AS (SELECT lang, unnest(ws) AS a FROM w),
+two AS (SELECT lang, unnest(list_transform(range(1, len(ws)), lambda i: {'a': ws[i], 'b': ws[i + 1]}), recursive := true) FROM w),
+three AS (SELECT lang, unnest(list_transform(range(1, len(ws) - 1), lambda i: {'a': ws[i], 'b': ws[i + 1], 'c': ws[i + 2]}), recursive := true) FROM w),
+f1 AS (SELECT lang, a, CAST(count(*) AS hugeint) AS f FROM one GROUP BY ALL),
+f2 AS (SELECT lang, a, b, CAST(count(*) AS hugeint) AS f FROM two GROUP BY ALL),
+f3 AS (SELECT lang, a, b, c, CAST(count(*) AS hugeint) AS f FROM three GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, count(*) AS n FROM one GROUP BY lang),
+longer AS (
+    SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b AS a, c AS b, f FROM f3) GROUP BY ALL
+),
+cuts AS (
+    SELECT x.lang, x.a || ' ' || x.b AS phrase, 1 AS k, x.f AS a, l.f AS l, r.f AS r
+    FROM f2 x JOIN f1 l ON l.lang = x.lang AND l.a = x.a JOIN f1 r ON r.lang = x.lang AND r.a = x.b
+    LEFT JOIN longer g ON g.lang = x.lang AND g.a = x.a AND g.b = x.b
+    WHERE x.f >= 10 AND 100 * coalesce(g.f, 0) < 50 * x.f
+    UNION ALL
+    SELECT x.lang, x.a || ' ' || x.b || ' ' || x.c, 1, x.f, l.f, r.f
+    FROM f3 x JOIN f1 l ON l.lang = x.lang AND l.a = x.a JOIN f2 r ON r.lang = x.lang AND r.a = x.b AND r.b = x.c
+    UNION ALL
+    SELECT x.lang, x.a || ' ' || x.b || ' ' || x.c, 2, x.f, l.f, r.f
+    FROM f3 x JOIN f2 l ON l.lang = x.lang AND l.a = x.a AND l.b = x.b JOIN f1 r ON r.lang = x.lang AND r.a = x.c
+),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT ranked.lang, rank, phrase, CAST(a AS bigint) AS a, CAST(l AS bigint) AS l, CAST(r AS bigint) AS r, n.n, CAST(score AS bigint) AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
 """,
     "op8_exact_dedup": r"""
 WITH n AS (
