@@ -284,10 +284,12 @@ def exposure_changes(cover: DataFrame, keys: Sequence[str], person: str = "cert_
     spans = day_prices(cover).groupBy(*group, person, "cover_start", "cover_end").agg(
         F.sum(zero_money(F.col("day_price"))).alias("price"), F.count(F.lit(1)).alias("covers")
     )
-    in_order = Window.partitionBy(*group, person).orderBy("cover_start", "cover_end")
+    # people without a certificate are no stays: they need no order, and one policy may list very many
+    in_order = Window.partitionBy(*group, person, "_lot").orderBy("cover_start", "cover_end")
     reach = F.max("cover_end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    seen = spans.withColumns({"reach": reach, "next_start": F.lead("cover_start").over(in_order)})
     known = F.col(person).isNotNull()
+    lot = F.when(~known, F.unix_date("cover_start"))
+    seen = spans.withColumn("_lot", lot).withColumns({"reach": reach, "next_start": F.lead("cover_start").over(in_order)})
     opens = known & (F.col("reach").isNull() | (F.col("cover_start") > F.date_add("reach", 1)))
     closes_before = opens & F.col("reach").isNotNull()
     closes = known & F.col("next_start").isNull()

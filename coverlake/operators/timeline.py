@@ -12,12 +12,14 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DecimalType, IntegralType
 
 from coverlake.functions.dates import day_id, month_id, ten_day_label
 
 #: Neighbouring ids sorted together by :func:`previous_in_time`.
 BUCKET, PREFIX = 1 << 12, 8
+#: Days summed together by :func:`prefix_sums`.
+PERIOD = 7
 
 
 def day_range(start: Column, end: Column) -> Column:
@@ -97,6 +99,31 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) ->
     )
 
 
+def prefix_sums(rows: DataFrame, keys: Sequence[str], day: str, measures: Sequence[str], period: int = PERIOD) -> DataFrame:
+    """Each measure summed over the rows of the same keys up to and on the row's day, in two passes.
+
+    Rows are ranged by (keys, ``period`` days). The first pass sums each range, which is a partial aggregate, and adds the
+    sums up over the ranges of a key, at most one row per period of the calendar. The second pass puts what came before a
+    range in front of its rows and sums inside the range. So one key spreads over as many tasks as it has periods, and no
+    sort holds more of it than one. A null day comes before all others. Null keys are a key of their own.
+    """
+    own = [c for c in rows.columns if c not in measures]
+    at = F.coalesce(F.expr(f"unix_date(`{day}`) div {int(period)}"), F.lit(-(1 << 31)))
+    ranged = rows.withColumn("_range", at)
+    kinds = {m: f"decimal(38,{t.scale})" if isinstance(t := rows.schema[m].dataType, DecimalType) else t.simpleString() for m in measures}
+    summed = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summed.select(*keys, "_range", *[F.sum(m).over(earlier).cast(kinds[m]).alias(m) for m in measures], F.lit(0).alias("_row"))
+    inside = Window.partitionBy(*keys, "_range").orderBy("_row", day)  # default RANGE frame: rows of one day share one value
+    both = ranged.withColumn("_row", F.lit(1)).withColumns({m: F.col(m).cast(k) for m, k in kinds.items()})
+    return (
+        both.unionByName(carried, allowMissingColumns=True)
+        .select(*own, "_row", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).cast(kinds[m]).alias(m) for m in measures])
+        .where("_row = 1")
+        .drop("_row")
+    )
+
+
 def sums_inside(
     covers: DataFrame,
     facts: DataFrame,
@@ -108,14 +135,15 @@ def sums_inside(
 ) -> DataFrame:
     """For each cover (keys, start, end): sum of the measures of facts with the same keys dated inside it.
 
-    An interval join without pairs and without a join: facts shrink to one row per (keys, day), a running sum is read at
-    ``end`` and just before ``start``, and the two readings are subtracted. Facts without a date count in every cover of
-    their keys. A cover without a fact gives zero. ``covers`` must be distinct; further columns of it are kept.
+    An interval join without pairs and without a join of intervals: facts shrink to one row per (keys, day), their prefix
+    sums are read at ``end`` and just before ``start``, and the two readings are subtracted. Facts without a date count in
+    every cover of their keys; they are an aggregate of their own. A cover without a fact gives zero. ``covers`` must be
+    distinct; further columns of it are kept. Covers and facts of one key spread over the periods of :func:`prefix_sums`.
     """
     s, e, day = F.col(start), F.col(end), F.col(fact_day)
     own = covers.columns
-    zero = {m: F.lit(0).cast(facts.schema[m].dataType) for m in measures}
-    daily = facts.groupBy(*keys, day.alias("day")).agg(*[F.sum(m).cast(facts.schema[m].dataType).alias(m) for m in measures])
+    kinds = {m: facts.schema[m].dataType for m in measures}
+    daily = facts.where(day.isNotNull()).groupBy(*keys, day.alias("day")).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
     readings = covers.select(
         *own,
         F.inline(
@@ -124,18 +152,18 @@ def sums_inside(
                 F.struct(F.when(s <= e, F.date_sub(s, 1)).otherwise(s).alias("day"), F.lit(-1).alias("sign")),
             )
         ),
-        *[zero[m].alias(m) for m in measures],
+        *[F.lit(0).cast(kinds[m]).alias(m) for m in measures],
     )
-    upto = Window.partitionBy(*keys).orderBy("day")  # default RANGE frame: rows of one day share one value
-    everything = Window.partitionBy(*keys)
-    dated = {m: F.sum(F.when(F.col("day").isNotNull(), F.col(m)).otherwise(zero[m])).over(upto) for m in measures}
-    undated = {m: F.sum(F.when(F.col("day").isNull(), F.col(m)).otherwise(zero[m])).over(everything) for m in measures}
-    return (
-        daily.unionByName(readings, allowMissingColumns=True)
-        .select(*own, "sign", *[dated[m].alias(m) for m in measures], *[undated[m].alias(f"undated_{m}") for m in measures])
+    summed = (
+        prefix_sums(daily.unionByName(readings, allowMissingColumns=True), keys, "day", measures)
         .where(F.col("sign").isNotNull())
         .groupBy(*own)
-        .agg(*[(F.sum(F.col(m) * F.col("sign")) + F.max(f"undated_{m}")).alias(m) for m in measures])
+        .agg(*[F.sum(F.col(m) * F.col("sign")).alias(m) for m in measures])
+    )
+    undated = facts.where(day.isNull()).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.sum(m).alias(f"undated_{m}") for m in measures])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return summed.join(undated, same, "left").select(
+        *own, *[(F.col(m) + F.coalesce(f"undated_{m}", F.lit(0))).alias(m) for m in measures]
     )
 
 

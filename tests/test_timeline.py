@@ -77,3 +77,39 @@ def test_calendar_labels(spark):
     day = T.calendar(spark, D("2020-02-28"), D("2020-03-02")).where("c_day_id = '20200229'").first()
     assert (day.week_day, day.c_month_id, day.c_month_end_date, day.c_ten_day_id, day.c_quarter_id, day.d_last_month_day) == (
         6, "202002", D("2020-02-29"), "2020-T06", "2020-Q1", D("2020-01-29"))
+
+
+def test_prefix_sums_equal_a_running_sum(rows):
+    start = D("2019-12-28")
+    data = [(k, start + timedelta(d) if d is not None else None, v) for k in ("a", None) for d, v in [(None, 1), (0, 2), (0, 3), (6, 5), (7, 7), (40, 11), (-30, 13)]]
+    df = rows("k string, d date, v int", data)
+    for period in (1, 7, 1000):
+        got = sorted(((r.k, r.d, r.v) for r in T.prefix_sums(df, ["k"], "d", ["v"], period).collect()), key=str)
+        want = [(k, d, sum(w for l, e, w in data if l == k and (e is None or (d is not None and e <= d)))) for k, d, _ in data]
+        assert got == sorted(want, key=str), period
+
+
+def test_one_key_with_most_rows_spreads_over_the_tasks(spark):
+    """90 % of the rows are of one key: no task of the window reads more than twice the median."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        df = spark.range(60_000).select(
+            F.when(F.col("id") % 10 > 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.date_add(F.lit(D("2015-01-01")), (F.col("id") % 3001).cast("int")).alias("d"), F.lit(1).alias("v")
+        )
+        done = T.prefix_sums(df, ["k"], "d", ["v"])
+        sizes = sorted(r["count"] for r in done.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[2]
+        assert done.where("k = -1").agg(F.max("v")).first()[0] == 54_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_covers_of_one_person_and_facts_without_a_key_or_day(rows):
+    covers = [(k, D("2020-01-01") + timedelta(d), D("2020-01-01") + timedelta(d + 20)) for k in ("a", None) for d in range(60)]
+    facts = [(k, D("2020-01-01") + timedelta(d), 1) for k in ("a", None) for d in range(0, 90, 3)] + [("a", None, 50), (None, None, 70)]
+    got = T.sums_inside(rows("k string, s date, e date", covers), rows("k string, d date, v int", facts), ["k"], "s", "e", "d", ["v"]).collect()
+    want = {(k, s, e): sum(v for l, d, v in facts if l == k and (d is None or s <= d <= e)) for k, s, e in covers}
+    assert {(r.k, r.s, r.e): r.v for r in got} == want
