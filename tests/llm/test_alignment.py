@@ -10,7 +10,7 @@ import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from coverlake.llm.alignment import Piece, aligned, diagonals, pieces
+from coverlake.llm.alignment import Piece, Tokens, aligned, by_rank, diagonals, pieces
 from coverlake.llm.bpe import byte_signs
 from coverlake.llm.queries import op13_token_alignment
 
@@ -101,3 +101,19 @@ def test_query_on_the_smallest_table(spark):
     got = aligned(spark.createDataFrame(docs, "doc_id long, text string"), A, B)
     assert rows_of(got) == sorted(((d, *p) for (d, _), p in zip(docs, plain([t for _, t in docs]))), key=str)
     assert op13_token_alignment(spark, folder).count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_ids_by_rank_are_the_file_s_own():
+    a_file, b_model = open(A, encoding="utf-8").read(), open(B, "rb").read()
+    assert by_rank(a_file)
+    rng = np.random.default_rng(8)
+    texts = [t or "" for t in TEXTS] + ["".join(map(chr, rng.integers(32, 0x2FF, rng.integers(1, 200)))) for _ in range(300)]
+    texts += [bytes(rng.integers(97, 103, 3000, np.uint8)).decode(), "\x85\u2003\x1c\x1f a\u3000 b  \n\n c"]
+    fast, own = (Tokens(a_file, b_model, ranked)._first(texts) for ranked in (True, False))
+    assert [x.tolist() for x in fast] == [x.tolist() for x in own]
+
+
+def test_a_file_whose_merges_do_not_make_its_tokens_is_not_ranked():
+    file = json.load(open(A, encoding="utf-8"))
+    file["model"]["merges"] = file["model"]["merges"][5:]
+    assert not by_rank(json.dumps(file))

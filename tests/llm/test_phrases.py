@@ -85,8 +85,14 @@ def test_no_rows(spark, rows):
     assert phrases.collocations(rows("lang string, text string", [(None, None), ("en", "")])).collect() == []
 
 
-def test_exact_beyond_64_bits():
+def test_exact_beyond_64_bits(rows):
+    """1000000 * a * a and l * r are near 10**25."""
     big = 3_000_000_007
-    stream = [("en", ["a"], 4 * big), ("en", ["a", "b"], big)]
-    found = {tuple(row[1]): (parts, longer) for row, parts, longer in phrases._lockstep(iter(stream))}
-    assert found == {("a", "b"): ([4 * big], 0), ("a",): ([], big)}
+    grams = [("a", 4 * big), ("b", 2 * big + 1), ("c", 5 * big), ("a b", big), ("b c", big + 2), ("a b c", big // 3)]
+    got = phrases.candidates(rows("lang string, phrase string, f long", [("en", *g) for g in grams]))
+    f = dict(grams)
+    want = {
+        ("en", p, f[p], f[l], f[r], 1_000_000 * f[p] ** 2 // (f[l] * f[r]))
+        for p, l, r in [("a b", "a", "b"), ("b c", "b", "c"), ("a b c", "a b", "c")]
+    }
+    assert {tuple(r) for r in got.collect()} == want
