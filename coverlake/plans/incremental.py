@@ -14,6 +14,7 @@ from coverlake.operators import quality as Q
 from coverlake.oracle import CTES, TODAY
 from coverlake.registry import query
 from coverlake.session import shared_dir
+from coverlake.sources.versions import changed_rows
 from coverlake.streaming import cdc
 from coverlake.streaming.tables import ReplicatedTable
 
@@ -46,6 +47,28 @@ def snapshot_delta(t: Tables) -> DataFrame:
     return delta(t)
 
 
+CTES["x_known"] = f"""
+SELECT policy_id, start_date AS updated, holder_name FROM d_policy WHERE start_date <= DATE '{SNAPSHOT}'"""
+CTES["x_left"] = "SELECT policy_id, updated, holder_name FROM x_today WHERE policy_id % 97 <> 0 AND (policy_id % 11 = 0 OR start_date > DATE '2001-01-01')"
+CTES["x_kept"] = f"""
+SELECT * FROM x_left UNION ALL SELECT * FROM x_known k WHERE policy_id % 97 <> 0 AND NOT EXISTS (SELECT 1 FROM x_left l WHERE l.policy_id = k.policy_id)"""
+
+
+@query("snapshot_changes", "policy_id:long updated:str holder_name:str inc_type:long", """
+SELECT coalesce(t.policy_id, k.policy_id) AS policy_id, coalesce(t.updated, k.updated) AS updated, coalesce(t.holder_name, k.holder_name) AS holder_name,
+  CASE WHEN k.policy_id IS NULL THEN 0 WHEN t.policy_id IS NULL THEN 2 ELSE 1 END AS inc_type
+FROM x_kept t FULL JOIN x_known k ON t.policy_id = k.policy_id
+WHERE k.policy_id IS NULL OR t.policy_id IS NULL OR t.updated IS DISTINCT FROM k.updated OR t.holder_name IS DISTINCT FROM k.holder_name""")
+def snapshot_changes(t: Tables) -> DataFrame:
+    """Inserted, updated and deleted policies between two snapshots, by the buckets whose digests differ."""
+    columns = ["policy_id", "updated", "holder_name"]
+    known = t.policy.where(F.col("start_date") <= F.lit(SNAPSHOT)).select("policy_id", F.col("start_date").alias("updated"), "holder_name")
+    there = F.pmod("policy_id", F.lit(97)) != 0
+    newer = today(t).where(there & ((F.pmod("policy_id", F.lit(11)) == 0) | (F.col("start_date") > F.lit(date(2001, 1, 1))))).select(*columns)
+    kept = newer.unionByName(known.where(there).join(newer.select("policy_id"), "policy_id", "left_anti"))
+    return changed_rows(kept, known, ["policy_id"], buckets=4096)
+
+
 @query("keyed_merge", "policy_id:long updated:str", """
 SELECT policy_id, updated FROM x_delta UNION ALL
 SELECT policy_id, updated FROM x_yesterday WHERE policy_id NOT IN (SELECT policy_id FROM x_delta)""")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.adapters import AS_OF, Tables
+from coverlake.operators import counted as C
 from coverlake.operators import lifecycle as L
 from coverlake.operators import profile as P
 from coverlake.operators import quality as Q
@@ -249,6 +250,75 @@ def central_increment(t: Tables) -> DataFrame:
     return P.merge_central(old, new)
 
 
+# three snapshots: later ones know newer policies, have lost cancelled ones, and the last has other premiums for some
+SNAPSHOTS = [date(1999, 6, 30), date(2000, 6, 30), date(2002, 1, 1)]
+CANCELLED = date(1998, 12, 31)
+CTES["x_final"] = f"""
+SELECT policy_id, holder_cert_no AS cert_no, start_date, end_date, product_code, channel, policy_status,
+  CASE WHEN policy_id % 17 = 0 THEN first_premium * 2 ELSE first_premium END AS premium
+FROM d_policy WHERE NOT (policy_id % 13 = 0 AND start_date <= DATE '2000-01-31')"""
+CTES["x_final_cover"] = """
+SELECT i.cert_no, i.insured_id, i.policy_id, coalesce(i.start_date, i.end_date) AS s, coalesce(i.end_date, i.start_date) AS e, i.work_type
+FROM d_insured_work i JOIN x_final p ON p.policy_id = i.policy_id"""
+CTES["x_final_slave"] = """
+SELECT d.slave_cert_no AS cert_no, c.policy_id, c.s, c.e FROM d_dependant d JOIN x_final_cover c ON c.insured_id = d.master_id"""
+CTES["x_final_roles"] = """
+SELECT r.*, p.product_code, p.channel FROM (
+  SELECT cert_no, policy_id, false AS holder FROM x_final_cover UNION ALL SELECT cert_no, policy_id, false FROM x_final_slave
+  UNION ALL SELECT cert_no, policy_id, true FROM x_final) r JOIN x_final p ON p.policy_id = r.policy_id WHERE p.policy_status IN (0, 1, -1)"""
+
+
+def snapshots(t: Tables) -> list[tuple[DataFrame, DataFrame, DataFrame, DataFrame]]:
+    """(policy, work, dependant, claim) as of each snapshot day."""
+    columns = ["policy_id", "cert_no", "start_date", "end_date", "product_code", "channel", "policy_status", "premium"]
+    policy = holders(t).select(*columns)
+    out = F.pmod("policy_id", F.lit(13)) == 0
+    gone = [F.lit(False), out & (F.col("start_date") <= F.lit(CANCELLED)), out & (F.col("start_date") <= F.lit(date(2000, 1, 31)))]
+    dearer = F.when(F.pmod("policy_id", F.lit(17)) == 0, F.col("premium") * 2).otherwise(F.col("premium")).cast("decimal(14,4)")
+    claims = t.claim.replace({"处理中": P.WITHDRAWN}, subset=["case_status"])
+    work = t.insured_work.withColumn("work_risk", F.lit(None).cast("string"))
+    made = []
+    for k, (day, lost) in enumerate(zip(SNAPSHOTS, gone)):
+        known = policy.where((F.col("start_date") <= F.lit(day)) & ~F.coalesce(lost, F.lit(False)))
+        made.append((known.withColumn("premium", dearer) if k == 2 else known, work, t.dependant, claims))
+    return made
+
+
+def central_state(t: Tables) -> DataFrame:
+    """The counted state of the first snapshot, carried on by what changed from each snapshot to the next."""
+    first, *later = snapshots(t)
+    moved = [C.changes(a, b) for a, b in zip([first, *later], later)]
+    return C.merged(C.contributions(*first), *moved)
+
+
+@query("central_counted", "cert_no:str cus_type:str first_start:str first_policy_id:long last_start:str last_policy_id:long last_end:str premium:double "
+       "held:long policies:long products:str channels:long covers:long covered:str work_type:str claims:long claim_payable:double rejected:long withdrawn:long", f"""
+WITH h AS (SELECT cert_no, min(start_date) AS first_start, arg_min(policy_id, (start_date, policy_id)) AS first_policy_id, max(start_date) AS last_start,
+  arg_max(policy_id, (start_date, policy_id)) AS last_policy_id, max(end_date) AS last_end, sum(premium) AS premium, count(*) AS held FROM x_final GROUP BY 1),
+r AS (SELECT cert_no, count(DISTINCT policy_id) AS policies, string_agg(DISTINCT product_code, ',' ORDER BY product_code) FILTER (NOT holder) AS products,
+  count(DISTINCT channel) FILTER (NOT holder) AS channels FROM x_final_roles GROUP BY 1),
+o AS (SELECT cert_no, count(*) AS covers, max({TODAY} BETWEEN s AND e) AS now, arg_max(coalesce(work_type, ''), (coalesce(s, DATE '0001-01-01'), insured_id)) AS work_type FROM x_final_cover GROUP BY 1),
+d AS (SELECT cert_no, count(*) AS covers, max({TODAY} BETWEEN s AND e) AS now FROM x_final_slave GROUP BY 1),
+k AS (SELECT risk_cert_no AS cert_no, count(*) AS claims, sum(payable) AS claim_payable, nullif(count(*) FILTER (case_status = '拒赔'), 0) AS rejected,
+  nullif(count(*) FILTER (case_status = '处理中'), 0) AS withdrawn FROM d_claim c JOIN x_final p ON p.policy_id = c.policy_id GROUP BY 1),
+people AS (SELECT cert_no FROM h UNION SELECT cert_no FROM o UNION SELECT cert_no FROM d UNION SELECT cert_no FROM k)
+SELECT b.cert_no, CASE WHEN h.cert_no IS NULL THEN '0' ELSE '1' END AS cus_type, first_start, first_policy_id, last_start, last_policy_id, last_end, premium, held,
+  coalesce(policies, 0) AS policies, products, coalesce(channels, 0) AS channels, coalesce(o.covers, d.covers) AS covers,
+  CASE WHEN coalesce(o.covers, d.covers) IS NULL THEN NULL WHEN coalesce(o.now, d.now) THEN '在保' ELSE '不在保' END AS covered,
+  nullif(o.work_type, '') AS work_type, claims, claim_payable, rejected, withdrawn
+FROM people b LEFT JOIN h ON h.cert_no = b.cert_no LEFT JOIN r ON r.cert_no = b.cert_no LEFT JOIN o ON o.cert_no = b.cert_no
+LEFT JOIN d ON d.cert_no = b.cert_no LEFT JOIN k ON k.cert_no = b.cert_no WHERE b.cert_no IS NOT NULL""")
+def central_counted(t: Tables) -> DataFrame:
+    """Facts after two increments with new, changed and cancelled policies; must equal a computation from scratch."""
+    return C.facts(central_state(t), AS_OF)
+
+
+@query("central_channels", "cert_no:str channel:str times:long", """
+SELECT cert_no, channel, count(*) AS times FROM x_final_roles WHERE NOT holder AND cert_no IS NOT NULL AND channel IS NOT NULL GROUP BY ALL""")
+def central_channels(t: Tables) -> DataFrame:
+    return C.channels(central_state(t))
+
+
 @query("sport_rate", "cert_no:str sports_rate:long", f"""
 SELECT cert_no, count(*) AS sports_rate FROM x_cover_products WHERE length(cert_no) = 18 AND one_level = '体育' AND start > {TODAY} - 90 GROUP BY 1""")
 def sport_rate(t: Tables) -> DataFrame:
