@@ -33,13 +33,14 @@ from uuid import uuid4
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from coverlake.llm.bpe import token_bytes
+from coverlake.llm.bpe import PATTERN, Vocabulary, token_bytes
 from coverlake.llm.common import stored
 from coverlake.llm.ngram_lm import add_up, pack, unpack
 from coverlake.session import shared_dir
@@ -110,16 +111,37 @@ def pieces(a_ids: np.ndarray, a: np.ndarray, b_ids: np.ndarray, b: np.ndarray, s
 # -- tokenizers
 
 
-class Tokens:
-    """Both tokenizers, and the bytes and lengths of their tokens."""
+def by_rank(a_file: str) -> bool:
+    """Whether merging the neighbours whose joint token has the lowest number gives the file's own tokens.
+
+    It does if numbers follow the order of the merges, every byte has a token and the file's merges turn the bytes of each
+    token into that token: two neighbours that make a token then are the pair that its merge names, since the merges
+    inside them are those that its own bytes go through.
+    """
+    voc = Vocabulary(a_file)
+    special = set(voc.special.values())
+    made = [number for _, number in sorted(voc.merges.values())]
+    whole = all(voc.merge(t) == [k] for k, t in enumerate(voc.tokens) if k not in special)
+    return made == sorted(made) and whole and len({voc.tokens[k] for k in voc.bytes}) == 256
+
 
-    def __init__(self, a_file: str, b_model: bytes) -> None:
-        self.a = Tokenizer.from_str(a_file)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+class Tokens:
+    """Both tokenizers, and the bytes and lengths of their tokens. ``ranked``: see :func:`by_rank`."""
+
+    def __init__(self, a_file: str, b_model: bytes, ranked: bool) -> None:
+        file = json.loads(a_file)
+        self.a_bytes = token_bytes(file)
+        if ranked:
+            special = {t["id"] for t in file["added_tokens"]}
+            ranks = {t: k for k, t in enumerate(self.a_bytes) if k not in special}
+            self.ranks = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        else:
+            self.ranks = None
+            self.a = Tokenizer.from_str(a_file)
+            self.a.encode_special_tokens = True
+            self.a.no_truncation()
+            self.a.no_padding()
         self.b = SentencePieceProcessor(model_proto=b_model)
-        self.a_bytes = token_bytes(json.loads(a_file))
         self.b_bytes = [self._piece(k) for k in range(self.b.get_piece_size())]
         self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         width = max(len(self.a_bytes), len(self.b_bytes))
@@ -134,14 +156,20 @@ class Tokens:
         """Ids of both tokenizers for each text; None: no tokens."""
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
         at = [k for k, t in enumerate(texts) if t]
-        coded = self.a.encode_batch_fast([f" {texts[k]}" for k in at], add_special_tokens=False)
+        coded = self._first([f" {texts[k]}" for k in at])
         other = self.b.encode([texts[k] for k in at], num_threads=1)
         for k, x, y in zip(at, coded, other):
-            x, whole = x.ids, f" {texts[k]}".encode()
-            if b"".join(map(self.a_bytes.__getitem__, x)) == whole and b"".join(map(self.b_bytes.__getitem__, y)) == whole:
-                out[k] = np.array(x, np.int64), np.array(y, np.int64)
+            whole, y = f" {texts[k]}".encode(), np.array(y, np.int64)
+            if _bytes(x, self.a_bytes) == whole and _bytes(y, self.b_bytes) == whole:
+                out[k] = x, y
         return out
 
+    def _first(self, texts: list[str]) -> list[np.ndarray]:
+        """A's ids of each text, special strings being plain text."""
+        if self.ranks is not None:
+            return [self.ranks.encode_to_numpy(t, disallowed_special=()).astype(np.int64) for t in texts]
+        return [np.array(c.ids, np.int64) for c in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
     def groups(self, a_ids: np.ndarray, b_ids: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[str]:
         """Every token in the order of the groups, written with the sign after it."""
         side_a = np.repeat(np.arange(len(cut_a)), np.diff(cut_a, prepend=0))
@@ -154,10 +182,14 @@ class Tokens:
         return list(map(self.written.__getitem__, codes.tolist()))
 
 
+def _bytes(ids: np.ndarray, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
 @lru_cache(maxsize=1)
-def _tokens(a_file: str, b_model: bytes) -> Tokens:
+def _tokens(a_file: str, b_model: bytes, ranked: bool) -> Tokens:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokens(a_file, b_model)
+    return Tokens(a_file, b_model, ranked)
 
 
 def _digest(written: list[str]) -> str:
@@ -234,7 +266,8 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, li
 def coded_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str, huge: int, size: int) -> DataFrame:
     """One finished row of each document; of a huge one a row for each piece instead."""
     with open(a_path, encoding="utf-8") as file_a, open(b_path, "rb") as file_b:
-        sent = docs.sparkSession.sparkContext.broadcast((file_a.read(), file_b.read()))
+        a_file, b_model = file_a.read(), file_b.read()
+    sent = docs.sparkSession.sparkContext.broadcast((a_file, b_model, by_rank(a_file)))
     schema = _arrow(_CODED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
