@@ -43,7 +43,7 @@ LEAST, LONGEST, TOP = 10, 3, 2000
 CONTAINED = 50
 SCALE = 1_000_000
 #: Words held by a task before their phrases are sent; bytes of a text read at a time; bits of the map.
-_WORDS, _SLICE = 1 << 22, 1 << 20
+_WORDS, _SLICE = 1 << 21, 1 << 20
 _LEAST_BITS, _MOST_BITS = 16, 27
 _TO = bytes.maketrans(bytes(range(65, 91)) + BREAKS + b"\t", bytes(range(97, 123)) + b"\n" * len(BREAKS) + b" ")
 _PARTS = re.compile(rb"[^ \n]+|\n")
