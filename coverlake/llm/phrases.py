@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -91,15 +92,31 @@ def _starts(ids: np.ndarray, n: int, fresh: int) -> np.ndarray:
     return np.flatnonzero(whole)
 
 
-def _distinct(ids: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each distinct phrase of ``n`` words among those at ``at``, and how often it comes there."""
+def _distinct(ids: np.ndarray, at: np.ndarray, n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Words (a column for each place) of the distinct phrases of ``n`` words that begin at ``at``, and how often each comes.
+
+    Phrases are sorted as numbers: the place of what comes before among its like, then the next word.
+    """
+    if n == 1:
+        count = np.bincount(ids[at])
+        seen = np.flatnonzero(count)
+        return [seen], count[seen]
+    shorter: list[np.ndarray] = []
     code = ids[at].astype(np.int64)
     for k in range(1, n):
-        code = code << 32 | ids[at + k]
+        code <<= 32
+        code |= ids[at + k]
         if k < n - 1:
-            code = np.unique(code, return_inverse=True)[1]
-    _, first, count = np.unique(code, return_index=True, return_counts=True)
-    return at[first], count
+            shorter.append(np.unique(code))
+            code = np.searchsorted(shorter[-1], code)
+    code.sort()
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    count, code = np.diff(np.append(first, len(code))), code[first]
+    columns = [code & 0xFFFFFFFF]
+    for known in reversed(shorter):
+        code = known[code >> 32]
+        columns.append(code & 0xFFFFFFFF)
+    return [code >> 32, *reversed(columns)], count
 
 
 @dataclass
@@ -114,7 +131,10 @@ class _Block:
 
     def add(self, lang: str, part: bytes) -> None:
         tokens = _PARTS.findall(part)
-        self.held.setdefault(lang, []).append(np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens)))
+        if len(tokens) > 1:  # one call looks up all of them
+            self.held.setdefault(lang, []).append(np.array(itemgetter(*tokens)(self.numbers), np.int32))
+        elif tokens:
+            self.held.setdefault(lang, []).append(np.array([self.numbers[tokens[0]]], np.int32))
         self.size += len(tokens)
 
     def end(self, lang: str) -> None:
@@ -150,14 +170,14 @@ def _counter(orders: list[int], allowed: Callable | None):
                     at = at[may[at] & may[at + 1]]
                 if not len(at):
                     continue
-                places, count = _distinct(ids, at, n)
+                found, count = _distinct(ids, at, n)
                 if n == 1:
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([""]), pa.array([len(at)], pa.int64())], schema=_COUNTED)
-                for low in range(0, len(places), 1 << 16):
-                    some = places[low : low + (1 << 16)]
-                    columns = [words.take(pa.array(ids[some + k])) for k in range(n)]
+                for low in range(0, len(count), 1 << 16):
+                    some = slice(low, low + (1 << 16))
+                    columns = [words.take(pa.array(c[some])) for c in found]
                     phrase = pc.binary_join_element_wise(*columns, " ") if n > 1 else columns[0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some)), phrase, pa.array(count[low : low + (1 << 16)])], schema=_COUNTED)
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(phrase)), phrase, pa.array(count[some])], schema=_COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block(max(orders) - 1)
