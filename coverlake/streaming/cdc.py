@@ -25,6 +25,13 @@ ENVELOPE = T.StructType(
     ]
 )
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
+#: Names a change has of its own; a table's column of such a name carries a mark until the state is read.
+RESERVED = ("type", "reason", "raw", "batch_id")
+
+
+def column(name: str) -> str:
+    """Name of a table's column among its changes."""
+    return f"{name}_" if name in RESERVED else name
 
 
 def classified(messages: DataFrame, table: ReplicatedTable, value: str = "value") -> DataFrame:
@@ -49,7 +56,7 @@ def classified(messages: DataFrame, table: ReplicatedTable, value: str = "value"
     return rows.select(
         F.struct(F.col("ts").alias("ts"), F.col("place").cast("long").alias("place")).alias("seq"),
         "type",
-        *[c.alias(n) for n, c in typed.items()],
+        *[c.alias(column(n)) for n, c in typed.items()],
         reason.alias("reason"),
         F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
     )
@@ -67,7 +74,8 @@ def parse_envelope(messages: DataFrame, table: ReplicatedTable, value: str = "va
 
 def apply_changes(changes: DataFrame, table: ReplicatedTable) -> DataFrame:
     """Current rows of a replicated table."""
-    return fold_changes(changes, table.key, [c for c in table.update if c != table.key])
+    folded = fold_changes(changes, table.key, [column(c) for c in table.update if c != table.key])
+    return folded.withColumnsRenamed({column(c): c for c in table.columns if c in RESERVED})
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -115,7 +123,7 @@ def rejects(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame
 
 
 def _log(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame:
-    columns = ", ".join(f"`{c}` {kind}" for c, kind in table.columns.items())
+    columns = ", ".join(f"`{column(c)}` {kind}" for c, kind in table.columns.items())
     schema = f"seq struct<ts: bigint, place: bigint>, type string, {columns}, reason string, raw string, batch_id int"
     return spark.read.schema(schema).parquet(f"{path}/changes")
 
