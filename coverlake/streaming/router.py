@@ -6,7 +6,9 @@ writes the same partitions again. Values stay text in this log and are typed whe
 
 :func:`compact` publishes, per table, the changes that still matter as the next version of a versioned table and says up to
 which batch it goes. A reader takes a version and the batches after it; :func:`clean` drops batches and versions that no
-version needs and no reader holds. So the number of files follows the tables, not the number of batches.
+version needs and no reader holds. So the number of files follows the tables, not the number of batches. As with
+:func:`cdc.compact`, a delete that arrives after a compaction with a lower sequence number than changes before it may leave
+a column that is set once with the value of a later change: compact no further than changes arrive in order.
 """
 
 from __future__ import annotations

@@ -73,7 +73,8 @@ def test_compaction_keeps_the_state_the_readers_and_few_files(spark, tmp_path):
     messages = [m for m in feed_of(random.Random(5), 300) if any(f'"table": "{t.name}"' in m for t in tables)]
     path = str(tmp_path / "t")
     files = []
-    parts = [messages[k::6] for k in range(6)]
+    size = -(-len(messages) // 6)
+    parts = [messages[k * size : (k + 1) * size] for k in range(6)]  # in order: what compact asks for
     reader = None
     for batch_id, part in enumerate(parts):
         router.write_batch(router.routed(spark.createDataFrame([(m,) for m in part], "value string"), tables), batch_id, path)
