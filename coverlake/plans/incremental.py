@@ -15,7 +15,7 @@ from coverlake.oracle import CTES, TODAY
 from coverlake.registry import query
 from coverlake.session import shared_dir
 from coverlake.sources.versions import changed_rows
-from coverlake.streaming import cdc
+from coverlake.streaming import cdc, history
 from coverlake.streaming.tables import ReplicatedTable
 
 SNAPSHOT = date(1999, 6, 30)
@@ -138,6 +138,67 @@ def cdc_stream(t: Tables) -> DataFrame:
     return cdc.current(spark, EVENT_STATE, f"{path}/table").withColumn("seq", F.col("seq.ts"))
 
 
+CTES["x_images"] = """
+SELECT key, seq, epoch_ms(ts) AS ms, type, value, props, key IS NOT NULL AND seq % 5 = 0 AS imaged,
+  CASE WHEN seq % 3 = 0 THEN value END AS old_value, CASE WHEN seq % 2 = 0 THEN 'k' ELSE props END AS old_props
+FROM (SELECT c.*, e.ts FROM d_change_log c JOIN events e ON e.event_id = c.seq) WHERE key IS NOT NULL"""
+CTES["x_linked"] = """
+SELECT *, lag(type) OVER w AS was, lag(value) OVER w AS value_before, lag(props) OVER w AS props_before, lead(seq) OVER w AS until, lead(ms) OVER w AS until_ms,
+  type <> 'DELETE' AND coalesce(lag(type) OVER w = 'DELETE', true) AS starts
+FROM x_images WINDOW w AS (PARTITION BY key ORDER BY ms, seq)"""
+CTES["x_history"] = """
+SELECT *, CASE WHEN type <> 'DELETE' THEN last_value(CASE WHEN starts THEN seq END IGNORE NULLS)
+  OVER (PARTITION BY key ORDER BY ms, seq ROWS UNBOUNDED PRECEDING) END AS begun FROM x_linked"""
+#: A change's before-image: for every fifth change its value, every third of them as the change has it, and its properties.
+IMAGED, HISTORY_DAYS = 5, 3
+
+
+def imaged_changes(t: Tables) -> DataFrame:
+    times = t.raw("events").select(F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    changes = t.change_log.join(times, F.col("seq") == F.col("id"))
+    value = F.when(F.col("seq") % 3 == 0, F.col("value")).cast("string")
+    props = F.when(F.col("seq") % 2 == 0, "k").otherwise(F.col("props"))
+    old = F.when(F.col("seq") % IMAGED == 0, F.create_map(F.lit("value"), value, F.lit("props"), props))
+    return changes.select("key", F.struct(F.col("ms").alias("ts"), F.col("seq").alias("place")).alias("seq"), "type", "value", "props", old.alias("old"))
+
+
+def key_versions(t: Tables) -> DataFrame:
+    return history.history(imaged_changes(t), "key", HISTORY_DAYS * history.PERIOD)
+
+
+@query("key_history", "key:long seq:long type:str value:double until:long starts:bool first_props:str", """
+SELECT h.key, h.seq, h.type, h.value, h.until, h.starts, b.props AS first_props FROM x_history h LEFT JOIN x_images b ON b.seq = h.begun""")
+def key_history(t: Tables) -> DataFrame:
+    """Every change with the time it was the latest of its key, from changes in any order."""
+    return key_versions(t).withColumns({"first_props": F.col("life.props"), "seq": F.col("seq.place"), "until": F.col("until.place")})
+
+
+@query("history_gaps", "key:long seq:long reason:str columns:str", """
+SELECT key, seq, reason, CASE WHEN reason = 'before' THEN names END AS columns FROM (SELECT *,
+  CASE WHEN type = 'INSERT' AND was <> 'DELETE' THEN 'insert' WHEN type <> 'INSERT' AND coalesce(was = 'DELETE', true) THEN 'missing'
+    WHEN type = 'UPDATE' AND imaged AND names <> '' THEN 'before' END AS reason
+  FROM (SELECT *, concat_ws(',', CASE WHEN old_props IS DISTINCT FROM props_before THEN 'props' END,
+    CASE WHEN old_value IS DISTINCT FROM value_before THEN 'value' END) AS names FROM x_linked)) WHERE reason IS NOT NULL""")
+def history_gaps(t: Tables) -> DataFrame:
+    """Changes that do not follow from the one before them: the feed has a gap there."""
+    return history.gaps(key_versions(t), "key").withColumns({"seq": F.col("seq.place"), "columns": F.array_join("columns", ",")})
+
+
+STATE_DAYS = [date(2024, 1, 5), date(2024, 1, 20), date(2024, 2, 1)]
+
+
+@query("state_on_day", "day:str key:long seq:long value:double props:str", "\nUNION ALL ".join(f"""
+SELECT '{day}' AS day, h.key, h.seq, h.value, b.props FROM x_history h JOIN x_images b ON b.seq = h.begun
+WHERE h.ms <= epoch_ms(TIMESTAMP '{day}') AND (until_ms IS NULL OR until_ms > epoch_ms(TIMESTAMP '{day}'))""" for day in STATE_DAYS))
+def state_on_day(t: Tables) -> DataFrame:
+    """The table as it was at the beginning of several days, from one history."""
+    versions = key_versions(t)
+    days = F.array(*[F.lit(d) for d in STATE_DAYS])
+    at = F.unix_millis(F.col("day").cast("timestamp"))
+    held = history.valid_at(versions.withColumn("day", F.explode(days)), "key", ["value"], at, ["day"])
+    return held.withColumn("seq", F.col("seq.place"))
+
+
 CTES["x_vault_rows"] = """
 SELECT CASE WHEN length(cert_no) = 18 THEN cert_no END AS cert_no, CASE WHEN workplace_id % 10 <> 0 THEN mobile END AS mobile,
   CASE WHEN person_id % 2 = 0 THEN 'official' ELSE 'inter' END AS business_line, start_date, end_date FROM d_insured"""

@@ -22,11 +22,12 @@ ENVELOPE = T.StructType(
         T.StructField("table", T.StringType()),
         T.StructField("type", T.StringType()),
         T.StructField("ts", T.LongType()),
+        T.StructField("old", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
     ]
 )
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
 #: Names a change has of its own; a table's column of such a name carries a mark until the state is read.
-RESERVED = ("type", "reason", "raw", "batch_id")
+RESERVED = ("type", "reason", "raw", "batch_id", "old", "until", "starts", "life", "before")
 
 
 def column(name: str) -> str:

@@ -9,6 +9,9 @@ which batch it goes. A reader takes a version and the batches after it; :func:`c
 version needs and no reader holds. So the number of files follows the tables, not the number of batches. As with
 :func:`cdc.compact`, a delete that arrives after a compaction with a lower sequence number than changes before it may leave
 a column that is set once with the value of a later change: compact no further than changes arrive in order.
+
+:func:`keep_history` publishes all changes of a table with the time each was valid, as versions too; late changes fold only
+their own keys again. Once a history is kept, :func:`clean` leaves the batches that it does not include yet.
 """
 
 from __future__ import annotations
@@ -20,17 +23,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlake.sources.versions import Folder, VersionedTable
-from coverlake.streaming import cdc
+from coverlake.streaming import cdc, history
 from coverlake.streaming.tables import ReplicatedTable
 
 #: The partition of messages that are no envelope.
 UNREADABLE = "_unreadable"
-_LOG = "ts bigint, place bigint, type string, row map<string,string>, raw string, table string, batch_id bigint"
+_LOG = "ts bigint, place bigint, type string, row map<string,string>, old map<string,string>, raw string, table string, batch_id bigint"
 BUCKETS = 8
 
 
 def routed(messages: DataFrame, tables: Iterable[ReplicatedTable], value: str = "value") -> DataFrame:
-    """Rows of all tables from JSON envelopes, each parsed once: ``table``, ``ts``, ``place``, ``type``, ``row``, ``raw``.
+    """Rows of all tables from JSON envelopes, each parsed once: ``table``, ``ts``, ``place``, ``type``, ``row``, ``old``, ``raw``.
 
     Messages of other tables and kinds are left out; what is no envelope is kept as text.
     """
@@ -44,7 +47,8 @@ def routed(messages: DataFrame, tables: Iterable[ReplicatedTable], value: str =
         m["type"].alias("type"),
         "raw",
         F.when(unreadable, UNREADABLE).otherwise(m["table"]).alias("table"),
-    ).withColumn("place", F.col("place").cast("bigint"))
+        m["old"].alias("old"),
+    ).withColumns({"place": F.col("place").cast("bigint"), "old": F.get("old", "place")})
 
 
 def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
@@ -101,7 +105,7 @@ def _typed(rows: DataFrame, table: ReplicatedTable) -> DataFrame:
         lost = lost | (row[c].isNotNull() & value.isNull())
     reason = F.when(values[table.key].isNull(), "key").when(lost, "value")
     return rows.select(
-        F.struct("ts", "place").alias("seq"), "type", *[v.alias(cdc.column(c)) for c, v in values.items()], reason.alias("reason"), F.when(reason.isNotNull(), F.col("raw")).alias("raw"), "batch_id"
+        F.struct("ts", "place").alias("seq"), "type", *[v.alias(cdc.column(c)) for c, v in values.items()], reason.alias("reason"), F.when(reason.isNotNull(), F.col("raw")).alias("raw"), "batch_id", "old"
     )
 
 
@@ -109,7 +113,7 @@ def changes(spark: SparkSession, table: ReplicatedTable, path: str, version: int
     """Changes of one table that still matter: a compacted version and the committed batches after it."""
     stored = _stored(spark, table, path)
     found = stored.manifest(version)
-    fresh = cdc.usable(_typed(_log(spark, table.name, path, found.note["upto"] if found else -1), table)).drop("batch_id")
+    fresh = cdc.usable(_typed(_log(spark, table.name, path, found.note["upto"] if found else -1), table)).drop("batch_id", "old")
     return stored.read(found.version).unionByName(fresh) if found else fresh
 
 
@@ -145,6 +149,40 @@ def _rejected(spark: SparkSession, table: ReplicatedTable | None, path: str, aft
     return _typed(_log(spark, table.name, path, after), table).where("reason is not null").select("batch_id", "reason", "raw")
 
 
+# -- history
+
+
+def _histories(spark: SparkSession, table: ReplicatedTable, path: str) -> VersionedTable:
+    return VersionedTable(spark, f"{path}/history/{table.name}", [table.key], BUCKETS)
+
+
+def keep_history(spark: SparkSession, tables: Iterable[ReplicatedTable], path: str) -> int:
+    """Publish the history of every table up to the last committed batch; buckets without a change keep their files."""
+    upto = committed(spark, path)
+    for table in tables:
+        stored = _histories(spark, table, path)
+        found = stored.manifest()
+        if found and found.note["upto"] >= upto:
+            continue
+        rows = _log(spark, table.name, path, found.note["upto"] if found else -1).where(F.col("batch_id") <= upto)
+        fresh = cdc.usable(_typed(rows, table)).drop("batch_id")
+        versions = history.extend(stored.read(found.version), fresh, table.key) if found else history.history(fresh, table.key)
+        stored.write(versions, note={"upto": upto})
+    return upto
+
+
+def kept_history(spark: SparkSession, table: ReplicatedTable, path: str) -> DataFrame:
+    """All changes of a table as of the last :func:`keep_history`, see :func:`history.history`."""
+    return _histories(spark, table, path).read()
+
+
+def state_at(spark: SparkSession, table: ReplicatedTable, path: str, ts: int) -> DataFrame:
+    """The table as it was right after the changes of a moment, from its history."""
+    update = [cdc.column(c) for c in table.update]
+    held = history.valid_at(kept_history(spark, table, path), table.key, update, F.lit(ts))
+    return held.withColumnsRenamed({cdc.column(c): c for c in table.columns if c in cdc.RESERVED})
+
+
 # -- compacting
 
 
@@ -168,6 +206,10 @@ def clean(spark: SparkSession, tables: Iterable[ReplicatedTable], path: str) ->
         stored = _stored(spark, table, path)
         stored.vacuum(keep=2)
         upto = min((stored.manifest(v).note["upto"] for v in stored.versions()), default=-1)
+        past = _histories(spark, table, path)
+        if past.versions():
+            past.vacuum(keep=2)
+            upto = min(upto, past.manifest().note["upto"])
         least = upto if least is None else min(least, upto)
     gone = set()
     for part in folder.names("log"):
