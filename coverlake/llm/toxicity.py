@@ -2,8 +2,11 @@
 
 Per n-gram, the ratio of its smoothed share among toxic and among other training documents gives ``r = log(p / q)``. A
 document is the set of its n-grams, each with the value ``r``; a logistic regression with L2 penalty learns a weight
-for each. N-grams are hashed to ``BUCKETS``; only those that tell (``LEAST_RATIO``, ``LEAST_DOCS``) enter the
-regression. Counting and scoring run in Spark over whole texts; the regression runs on a bounded sample (``rows``).
+for each. N-grams are hashed to ``BUCKETS``. Only those that tell enter the regression: in ``LEAST_DOCS`` documents, and
+with a log-likelihood ratio of presence against label that chance would rarely give among as many n-grams as were looked
+at (``CHANCE``). Without that, the n-grams that three toxic texts share by chance fit the training rows and say nothing of
+others. A logistic curve, learned from scores that each inner fold gets from a model of the others, makes the score a
+probability. Counting and scoring run in Spark over whole texts; the regressions run on a bounded sample (``rows``).
 
 Defined cases: a null or empty text is scored like a text without any telling n-gram; without both labels in the
 sample every score is 0; every input row gives one output row, repeated rows too; an empty table gives an empty result;
@@ -12,6 +15,7 @@ further columns are not looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,13 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.llm.common import held_out
-from coverlake.llm.training import FOLDS, HELD_OUT, Adam, sample, sigmoid
+from coverlake.llm.training import FOLDS, HELD_OUT, Adam, calibrate, sample, sigmoid
 from coverlake.llm.words import text_buffers
 
-SIZES = (4, 5)
+SIZES = (3, 4, 5, 6)
 BITS = 19
 BUCKETS = 1 << BITS
-LEAST_RATIO, LEAST_DOCS = 1.0, 3
+#: An n-gram tells from a likelihood ratio of ``CHANCE`` times the log of the number of n-grams in ``LEAST_DOCS`` documents on.
+CHANCE, LEAST_DOCS = 1.5, 3
+PENALTY, STEPS = 1e-3, 300
+#: Folds inside the training rows that the score is calibrated by.
+INNER = 8
 #: Labelled documents learned from at most.
 ROWS = 24_000
 THRESHOLD = 0.7
@@ -77,64 +85,113 @@ class Model:
     shift: float
 
 
-def log_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Per bucket the log of its share in toxic over its share in other documents, and how many documents have it."""
+def counted(labelled: DataFrame) -> np.ndarray:
+    """How many documents of each inner fold and label have each bucket, and in the last place how many there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        everything, counts, seen = np.ones(BUCKETS, bool), np.zeros((2, BUCKETS), np.int64), False
+        everything, counts, seen = np.ones(BUCKETS, bool), np.zeros((2 * INNER, BUCKETS), "<i4"), False
         for batch in batches:
-            label = np.asarray(batch.column("label"))
+            group = 2 * np.asarray(batch.column("fold")) + np.asarray(batch.column("label"))
             for _, _, row, bucket in features(batch.column("text"), everything):
                 seen = True
-                for k in (0, 1):
-                    counts[k] += np.bincount(bucket[label[row] == k], minlength=BUCKETS)
+                for k in range(2 * INNER):
+                    counts[k] += np.bincount(bucket[group[row] == k], minlength=BUCKETS).astype("<i4")
         if seen:
-            slots = counts.reshape(2, -1, _SLOT).swapaxes(0, 1).astype("<i8")
-            yield pa.RecordBatch.from_pydict({"slot": list(range(len(slots))), "counts": [s.tobytes() for s in slots]}, schema=schema)
+            slots = counts.reshape(2 * INNER, -1, _SLOT).swapaxes(0, 1)
+            yield pa.RecordBatch.from_pydict({"slot": list(range(len(slots))), "counts": [zlib.compress(s.tobytes(), 1) for s in slots]}, schema=schema)
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<i8") for x in frame["counts"])
-        return pd.DataFrame({"slot": frame["slot"].iloc[:1], "counts": [total.tobytes()]})
+        total = np.zeros(2 * INNER * _SLOT, "<i4")
+        for x in frame["counts"]:
+            total += np.frombuffer(zlib.decompress(x), "<i4")
+        return pd.DataFrame({"slot": frame["slot"].iloc[:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = pa.schema([("slot", pa.int64()), ("counts", pa.binary())])
     parts = labelled.mapInArrow(count, "slot long, counts binary").groupBy("slot").applyInPandas(add, "slot long, counts binary")
-    counts = np.zeros((2, BUCKETS))
-    for r in parts.collect():  # BUCKETS numbers a class, whatever the input
-        counts[:, r.slot * _SLOT : (r.slot + 1) * _SLOT] = np.frombuffer(r.counts, "<i8").reshape(2, -1)
-    share = (counts + 1) / (counts + 1).sum(1, keepdims=True)
-    return np.log(share[1] / share[0]), counts.sum(0)
+    counts = np.zeros((INNER, 2, BUCKETS + 1), "<i4")
+    for r in parts.collect():  # BUCKETS numbers a class and fold, whatever the input
+        counts[:, :, r.slot * _SLOT : (r.slot + 1) * _SLOT] = np.frombuffer(zlib.decompress(r.counts), "<i4").reshape(INNER, 2, -1)
+    for r in labelled.groupBy("fold", "label").count().collect():
+        counts[r.fold, r.label, BUCKETS] = r["count"]
+    return counts
+
+
+def telling(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per bucket the log of its share in toxic over its share in other documents, and whether it tells."""
+    have, every = counts[:, :BUCKETS].astype(float), counts[:, BUCKETS:].astype(float)
+    share = (have + 1) / (have + 1).sum(1, keepdims=True)
+    seen = have.sum(0)
+    if not every.all():
+        return np.zeros(BUCKETS), np.zeros(BUCKETS, bool)
+    wanted = seen * every / every.sum()
+    ratio = np.zeros(BUCKETS)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for found, expected in ((have, wanted), (every - have, every - wanted)):
+            ratio += 2 * np.where(found > 0, found * np.log(found / expected), 0).sum(0)
+    often = seen >= LEAST_DOCS
+    return np.log(share[1] / share[0]), often & (ratio >= CHANCE * np.log(max(often.sum(), 2)))
+
+
+@dataclass(frozen=True)
+class _Sets:
+    """The kept buckets of the sampled documents, end to end."""
+
+    owner: np.ndarray
+    bucket: np.ndarray
+    label: np.ndarray
+    weight: np.ndarray
+
+    def regress(self, rows: np.ndarray, ratio: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, float]:
+        """Weight of each bucket times its ratio, and the shift, learned from some of the documents."""
+        place, at = np.cumsum(rows) - 1, rows[self.owner] & keep[self.bucket]
+        used, feature = np.unique(self.bucket[at], return_inverse=True)
+        owner, y, each = place[self.owner[at]], self.label[rows], self.weight[rows]
+        scale = ratio[used]
+        w, adam = np.zeros(len(used) + 1), Adam(len(used) + 1, 0.02)
+        for _ in range(STEPS):
+            z = np.bincount(owner, (w[:-1] * scale)[feature], len(y)) + w[-1]
+            error = each * (sigmoid(z) - y) / each.sum()
+            w -= adam.step(np.append(np.bincount(feature, error[owner], len(used)) * scale + PENALTY * w[:-1], error.sum()))
+        weights = np.zeros(BUCKETS)
+        weights[used] = w[:-1] * scale
+        return weights, float(w[-1])
+
+    def scores(self, weights: np.ndarray, shift: float) -> np.ndarray:
+        return np.bincount(self.owner, weights[self.bucket], len(self.label)) + shift
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Learn from at most ``rows`` labelled documents outside the held-out fold."""
     labelled, weight = sample(docs, labels, label, rows, id_col, text_col)
-    ratio, seen = log_ratios(labelled)
-    keep = (np.abs(ratio) >= LEAST_RATIO) & (seen >= LEAST_DOCS)
+    labelled = labelled.withColumn("fold", F.pmod(F.xxhash64(F.lit("inner"), "doc_id"), F.lit(INNER)).cast("int"))
+    counts = counted(labelled)
+    whole = counts.sum(0)
+    parts = [telling(whole - counts[k]) for k in range(INNER)]
+    ratio, keep = telling(whole)
+    any_of = keep | np.any([k for _, k in parts], axis=0)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, stop, row, bucket in features(batch.column("text"), keep):
+            for first, stop, row, bucket in features(batch.column("text"), any_of):
                 ends = np.searchsorted(row, np.arange(first, stop + 1))
                 each = [bucket[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, stop - first), pa.array(each, pa.binary())], names=["label", "buckets"])
+                own = [batch.column(c).slice(first, stop - first) for c in ("label", "fold")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(each, pa.binary())], names=["label", "fold", "buckets"])
 
-    got = labelled.mapInArrow(vectors, "label int, buckets binary").collect()  # at most ``rows`` sets of kept buckets
-    y = np.array([r.label for r in got], float)
+    got = labelled.mapInArrow(vectors, "label int, fold int, buckets binary").collect()  # at most ``rows`` sets of kept buckets
+    y, fold = np.array([r.label for r in got], float), np.array([r.fold for r in got])
     if len(set(y)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
     lists = [np.frombuffer(r.buckets, "<i4") for r in got]
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    used, feature = np.unique(np.concatenate(lists), return_inverse=True)
-    scale, each = ratio[used], np.where(y == 0, weight, 1.0)
-    w, adam = np.zeros(len(used) + 1), Adam(len(used) + 1, 0.02)
-    for _ in range(300):
-        z = np.bincount(owner, (w[:-1] * scale)[feature], len(y)) + w[-1]
-        error = each * (sigmoid(z) - y) / each.sum()
-        gradient = np.append(np.bincount(feature, error[owner], len(used)) * scale + 1e-5 * w[:-1], error.sum())
-        w -= adam.step(gradient)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = w[:-1] * scale
-    return Model(weights, float(w[-1]))
+    sets = _Sets(np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists), y, np.where(y == 0, weight, 1.0))
+    unseen, known = np.zeros(len(y)), np.zeros(len(y), bool)
+    for k, (r, tells) in enumerate(parts):
+        if len(set(y[fold != k])) == 2:
+            unseen[fold == k], known[fold == k] = sets.scores(*sets.regress(fold != k, r, tells))[fold == k], True
+    slope, level = calibrate(unseen[known], y[known], sets.weight[known]) if len(set(y[known])) == 2 else (1.0, 0.0)
+    slope = max(slope, 0.0)  # no signal
+    weights, shift = sets.regress(np.ones(len(y), bool), ratio, keep)
+    return Model((slope * weights).astype(np.float32), slope * shift + level)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -34,6 +34,33 @@ def test_toxicity_learns_and_holds_out(rows):
             assert r.predicted == int(r.doc_id % 3 == 0), r
 
 
+def area(pairs):
+    """Share of pairs of a toxic and another document in which the toxic one has the higher score, by ranks."""
+    import pandas as pd
+
+    frame = pd.DataFrame(pairs, columns=["score", "label"])
+    rank, n = frame.score.rank(), frame.label.sum()
+    return (rank[frame.label == 1].sum() - n * (n + 1) / 2) / (n * (len(frame) - n))
+
+
+@pytest.mark.parametrize("scale, least, most_missed", [("sf0.01", 0.88, 0.5), ("sf0.1", 0.937, 0.25)])
+def test_toxicity_holds_on_labels_it_did_not_learn_from(spark, scale, least, most_missed):
+    """``least`` at sf0.1 is what plain log-odds of words reach on the same split."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{scale}/{name}.parquet") for name in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").where("toxic is not null").collect()
+    assert area([(r.score, r.toxic) for r in got]) >= least
+    toxic, clean = ([r.predicted for r in got if r.toxic == k] for k in (1, 0))
+    assert 1 - sum(toxic) / len(toxic) < most_missed and sum(clean) / len(clean) < 0.01
+
+
+def test_no_document_of_a_label_in_a_fold_or_in_the_sample(rows):
+    """With one toxic document no n-gram tells; every score is the same."""
+    docs = rows("doc_id long, text string", [(i, CLEAN + (TOXIC if i == 3 else "")) for i in range(40)])
+    for toxic in ([3], [], list(range(40))):
+        got = toxicity.toxicity(docs, rows("doc_id long, toxic int", [(i, int(i in toxic)) for i in range(40)])).collect()
+        assert len(got) == 40 and len({r.score for r in got}) == 1 and 0 <= got[0].score <= 1
+
+
 def test_quality_learns_and_holds_out(rows):
     junk = ["THE!! RIVER!! RUNS!! BY!!\n", "a$$$ b%%% c&&& d***\n", "the | river | runs |\n", "mill mill mill mill mill\n"]
     df, labels, docs = corpus(rows, lambda i: (CLEAN + ".\n" + (junk[i // 2 % 4] * 4 if i % 2 else (CLEAN + ".\n") * (1 + i % 6)), 1 - i % 2, 0))
@@ -84,11 +111,10 @@ def test_ngrams_of_blocks_equal_those_of_the_whole(monkeypatch):
     want = {}
     for k, text in enumerate(texts):
         raw = np.frombuffer(text.encode(), np.uint8)
-        found = {int(b) for size in toxicity.SIZES for i in range(len(raw) - size + 1) for g in toxicity.grams(raw[i : i + size]) for b in g[-1:]}
         exact = set()
-        for size, all_of in zip(toxicity.SIZES, toxicity.grams(raw)):
-            exact |= set(all_of.tolist())
-        assert exact <= found | exact
+        for k_th, size in enumerate(toxicity.SIZES):
+            for i in range(len(raw) - size + 1):  # each n-gram by itself
+                exact.add(int(list(toxicity.grams(raw[i : i + size]))[k_th][0]))
         if kept := {b for b in exact if keep[b]}:
             want[k] = kept
     assert sets() == want
