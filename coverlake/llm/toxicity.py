@@ -2,8 +2,8 @@
 
 Per n-gram, the ratio of its smoothed share among toxic and among other training documents gives ``r = log(p / q)``. A
 document is the set of its n-grams, each with the value ``r``; a logistic regression with L2 penalty learns a weight
-for each. N-grams are hashed to ``BUCKETS``. Only those that tell enter the regression: in ``LEAST_DOCS`` documents, and
-with a log-likelihood ratio of presence against label that chance would rarely give among as many n-grams as were looked
+for each. N-grams are hashed to ``BUCKETS``. Only those that tell enter the regression: in ``LEAST_DOCS`` documents, with a
+log-count ratio of ``LEAST_RATIO``, and with a log-likelihood ratio of presence against label that chance would rarely give among as many n-grams as were looked
 at (``CHANCE``). Without that, the n-grams that three toxic texts share by chance fit the training rows and say nothing of
 others. A logistic curve, learned from scores that each inner fold gets from a model of the others, makes the score a
 probability. Counting and scoring run in Spark over whole texts; the regressions run on a bounded sample (``rows``).
@@ -33,7 +33,7 @@ SIZES = (3, 4, 5, 6)
 BITS = 19
 BUCKETS = 1 << BITS
 #: An n-gram tells from a likelihood ratio of ``CHANCE`` times the log of the number of n-grams in ``LEAST_DOCS`` documents on.
-CHANCE, LEAST_DOCS = 1.5, 3
+CHANCE, LEAST_DOCS, LEAST_RATIO = 1.5, 3, 1.0
 PENALTY, STEPS = 1e-3, 300
 #: Folds inside the training rows that the score is calibrated by.
 INNER = 8
@@ -129,7 +129,8 @@ def telling(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for found, expected in ((have, wanted), (every - have, every - wanted)):
             ratio += 2 * np.where(found > 0, found * np.log(found / expected), 0).sum(0)
     often = seen >= LEAST_DOCS
-    return np.log(share[1] / share[0]), often & (ratio >= CHANCE * np.log(max(often.sum(), 2)))
+    log_ratio = np.log(share[1] / share[0])
+    return log_ratio, often & (np.abs(log_ratio) >= LEAST_RATIO) & (ratio >= CHANCE * np.log(max(often.sum(), 2)))
 
 
 @dataclass(frozen=True)
@@ -143,9 +144,10 @@ class _Sets:
 
     def regress(self, rows: np.ndarray, ratio: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, float]:
         """Weight of each bucket times its ratio, and the shift, learned from some of the documents."""
-        place, at = np.cumsum(rows) - 1, rows[self.owner] & keep[self.bucket]
-        used, feature = np.unique(self.bucket[at], return_inverse=True)
-        owner, y, each = place[self.owner[at]], self.label[rows], self.weight[rows]
+        place, number = (np.cumsum(x, dtype=np.int32) - np.int32(1) for x in (rows, keep))
+        at = np.flatnonzero(rows[self.owner] & keep[self.bucket])
+        used, feature, owner = np.flatnonzero(keep), number[self.bucket[at]], place[self.owner[at]]
+        y, each = self.label[rows], self.weight[rows]
         scale = ratio[used]
         w, adam = np.zeros(len(used) + 1), Adam(len(used) + 1, 0.02)
         for _ in range(STEPS):
@@ -183,7 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = RO
     if len(set(y)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
     lists = [np.frombuffer(r.buckets, "<i4") for r in got]
-    sets = _Sets(np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists), y, np.where(y == 0, weight, 1.0))
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    sets = _Sets(owner, np.concatenate(lists), y, np.where(y == 0, weight, 1.0))
+    del got, lists
     unseen, known = np.zeros(len(y)), np.zeros(len(y), bool)
     for k, (r, tells) in enumerate(parts):
         if len(set(y[fold != k])) == 2:
