@@ -6,7 +6,7 @@ for each. N-grams are hashed to ``BUCKETS``. Only those that tell enter the regr
 log-count ratio of ``LEAST_RATIO``, and with a log-likelihood ratio of presence against label that chance would rarely give among as many n-grams as were looked
 at (``CHANCE``). Without that, the n-grams that three toxic texts share by chance fit the training rows and say nothing of
 others. A logistic curve, learned from scores that each inner fold gets from a model of the others, makes the score a
-probability. Counting and scoring run in Spark over whole texts; the regressions run on a bounded sample (``rows``).
+probability. Counting and scoring run in Spark over whole texts; the regressions run on a bounded sample (``rows``), one task each.
 
 Defined cases: a null or empty text is scored like a text without any telling n-gram; without both labels in the
 sample every score is 0; every input row gives one output row, repeated rows too; an empty table gives an empty result;
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coverlake.llm.common import held_out
@@ -135,31 +135,63 @@ def telling(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class _Sets:
-    """The kept buckets of the sampled documents, end to end."""
+    """The kept n-grams (``column``) of the sampled documents, end to end."""
 
     owner: np.ndarray
-    bucket: np.ndarray
+    column: np.ndarray
     label: np.ndarray
     weight: np.ndarray
-
-    def regress(self, rows: np.ndarray, ratio: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, float]:
-        """Weight of each bucket times its ratio, and the shift, learned from some of the documents."""
+    fold: np.ndarray
+
+    def regress(self, without: int, ratio: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """Weight of each column times its ratio, and the shift, learned from the documents of all folds but one."""
+        rows = self.fold != without
+        y, each = self.label[rows], self.weight[rows] / self.weight[rows].sum()
+        if len(set(y)) < 2:
+            return None
         place, number = (np.cumsum(x, dtype=np.int32) - np.int32(1) for x in (rows, keep))
-        at = np.flatnonzero(rows[self.owner] & keep[self.bucket])
-        used, feature, owner = np.flatnonzero(keep), number[self.bucket[at]], place[self.owner[at]]
-        y, each = self.label[rows], self.weight[rows]
+        at = np.flatnonzero(rows[self.owner] & keep[self.column])
+        used, feature, owner = np.flatnonzero(keep), number[self.column[at]], place[self.owner[at]]
+        order = np.argsort(feature, kind="stable")
+        owner_of, first_of = owner[order], _starts(feature[order])
+        first = _starts(owner)
+        docs, features_of = owner[first], feature[order][first_of]
         scale = ratio[used]
         w, adam = np.zeros(len(used) + 1), Adam(len(used) + 1, 0.02)
         for _ in range(STEPS):
-            z = np.bincount(owner, (w[:-1] * scale)[feature], len(y)) + w[-1]
-            error = each * (sigmoid(z) - y) / each.sum()
-            w -= adam.step(np.append(np.bincount(feature, error[owner], len(used)) * scale + PENALTY * w[:-1], error.sum()))
-        weights = np.zeros(BUCKETS)
+            z = np.full(len(y), w[-1])
+            z[docs] += np.add.reduceat((w[:-1] * scale)[feature], first)
+            error = each * (sigmoid(z) - y)
+            slope = PENALTY * w[:-1]
+            slope[features_of] += np.add.reduceat(error[owner_of], first_of) * scale[features_of]
+            w -= adam.step(np.append(slope, error.sum()))
+        weights = np.zeros(len(keep))
         weights[used] = w[:-1] * scale
         return weights, float(w[-1])
 
     def scores(self, weights: np.ndarray, shift: float) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.bucket], len(self.label)) + shift
+        return np.bincount(self.owner, weights[self.column], len(self.label)) + shift
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Places at which a sorted array takes a new value."""
+    return np.flatnonzero(np.diff(x, prepend=-1))
+
+
+def regressions(spark: SparkSession, sets: _Sets, models: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, tuple[np.ndarray, float]]:
+    """One task per model: model k leaves fold k out. ``models`` are the ratio and the keep mask of each."""
+    sent = spark.sparkContext.broadcast((sets, models))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, each = sent.value
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                if (got := known.regress(k, *each[k])) is not None:
+                    yield pa.RecordBatch.from_pydict({"id": [k], "weights": [got[0].astype("<f8").tobytes()], "shift": [got[1]]}, schema=schema)
+
+    schema = pa.schema([("id", pa.int64()), ("weights", pa.binary()), ("shift", pa.float64())])
+    got = spark.range(0, len(models), 1, len(models)).mapInArrow(run, "id long, weights binary, shift double").collect()
+    return {r.id: (np.frombuffer(r.weights, "<f8"), r.shift) for r in got}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -185,16 +217,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = RO
     if len(set(y)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), -40.0)
     lists = [np.frombuffer(r.buckets, "<i4") for r in got]
+    column = np.cumsum(any_of, dtype=np.int32) - np.int32(1)
     owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
-    sets = _Sets(owner, np.concatenate(lists), y, np.where(y == 0, weight, 1.0))
+    sets = _Sets(owner, column[np.concatenate(lists)], y, np.where(y == 0, weight, 1.0), fold)
     del got, lists
+    found = regressions(docs.sparkSession, sets, [(r[any_of], k[any_of]) for r, k in [*parts, (ratio, keep)]])
     unseen, known = np.zeros(len(y)), np.zeros(len(y), bool)
-    for k, (r, tells) in enumerate(parts):
-        if len(set(y[fold != k])) == 2:
-            unseen[fold == k], known[fold == k] = sets.scores(*sets.regress(fold != k, r, tells))[fold == k], True
+    for k in range(INNER):
+        if k in found:
+            unseen[fold == k], known[fold == k] = sets.scores(*found[k])[fold == k], True
     slope, level = calibrate(unseen[known], y[known], sets.weight[known]) if len(set(y[known])) == 2 else (1.0, 0.0)
     slope = max(slope, 0.0)  # no signal
-    weights, shift = sets.regress(np.ones(len(y), bool), ratio, keep)
+    own, shift = found[INNER]
+    weights = np.zeros(BUCKETS)
+    weights[any_of] = own
     return Model((slope * weights).astype(np.float32), slope * shift + level)
 
 
