@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from coverlake.functions import certificate as cert
 from coverlake.functions.dates import day_gap, is_school_age, ride_bucket, weekday_monday_first
@@ -395,10 +396,12 @@ def add_histograms(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def person_contacts(contacts: DataFrame) -> DataFrame:
-    """Phones per person with the latest day each was seen, and the sources that know the person.
+    """Phones per person with the latest day each was seen and their position, newest first, and the sources that know the person.
 
-    ``contacts`` has cert_no, mobile, start, end, source; certificates must be complete. Newest first is the order of
-    ``latest``; sources come joined by ``:``.
+    ``contacts`` has cert_no, mobile, start, end, source; certificates must be complete. Of phones seen last on one day the
+    smaller text comes first; a person without a dated phone has one row without phone and position. Sources come joined
+    by ``:``. A position is the phones of later days plus the place within the day, so no window holds more than a
+    person's days or the phones of one day.
     """
     known = contacts.where(cert.is_full(F.col("cert_no")))
     seen = F.coalesce("start", "end")
@@ -406,7 +409,12 @@ def person_contacts(contacts: DataFrame) -> DataFrame:
         known.where(F.col("mobile").isNotNull() & seen.isNotNull()).groupBy("cert_no", "mobile").agg(F.max(seen).alias("latest"))
     )
     sources = known.groupBy("cert_no").agg(F.array_join(F.array_sort(F.collect_set("source")), ":").alias("sources"))
-    return sources.join(phones, "cert_no", "left")
+    by_day = Window.partitionBy("cert_no").orderBy(F.col("latest").desc())
+    days = phones.groupBy("cert_no", "latest").agg(F.count(F.lit(1)).alias("phones"))
+    days = days.select("cert_no", "latest", (F.sum("phones").over(by_day) - F.col("phones")).alias("later"))
+    place = F.row_number().over(Window.partitionBy("cert_no", "latest").orderBy("mobile"))
+    ordered = phones.withColumn("place", place).join(days, ["cert_no", "latest"])
+    return sources.join(ordered.select("cert_no", "mobile", "latest", (F.col("later") + F.col("place")).alias("position")), "cert_no", "left")
 
 
 def insurance_graph(policy: DataFrame, insured: DataFrame, dependant: DataFrame) -> tuple[DataFrame, DataFrame]:

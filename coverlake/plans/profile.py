@@ -395,11 +395,12 @@ UNION ALL SELECT holder_cert_no, holder_mobile, start_date, end_date, 'inter' FR
 UNION ALL SELECT risk_cert_no, NULL, risk_day, NULL, 'other' FROM d_claim"""
 
 
-@query("person_contacts", "cert_no:str mobile:str latest:str sources:str", """
+@query("person_contacts", "cert_no:str mobile:str latest:str position:long sources:str", """
 WITH k AS (SELECT * FROM x_contacts WHERE regexp_full_match(cert_no, '[0-9]{17}[0-9xX]')),
 p AS (SELECT cert_no, mobile, max(coalesce(s, e)) AS latest FROM k WHERE mobile IS NOT NULL AND coalesce(s, e) IS NOT NULL GROUP BY 1, 2),
 o AS (SELECT cert_no, string_agg(DISTINCT source, ':' ORDER BY source) AS sources FROM k GROUP BY 1)
-SELECT o.cert_no, mobile, latest, sources FROM o LEFT JOIN p ON p.cert_no = o.cert_no""")
+SELECT o.cert_no, mobile, latest, CASE WHEN mobile IS NOT NULL THEN row_number() OVER (PARTITION BY p.cert_no ORDER BY latest DESC, mobile) END AS position,
+  sources FROM o LEFT JOIN p ON p.cert_no = o.cert_no""")
 def person_contacts(t: Tables) -> DataFrame:
     none_day, none_text = F.lit(None).cast("date"), F.lit(None).cast("string")
     web = t.insured.select("cert_no", "mobile", F.col("start_date").alias("start"), F.col("end_date").alias("end"), F.lit("website").alias("source"))
