@@ -93,6 +93,22 @@ def ledger_enrich(
     )
 
 
+def of_products(policy: DataFrame, product: DataFrame | None = None, line: str | None = None, excluded: Sequence[str] = ()) -> DataFrame:
+    """Policies of one business line (of all without ``line``) but for the excluded product codes.
+
+    A policy without a product code is of no line, and no exclusion meets it. What rests on the result, covers and claims
+    joined to it among them, follows the choice.
+    """
+    kept = policy
+    if excluded:
+        kept = kept.where(F.coalesce(~F.col("product_code").isin(list(excluded)), F.lit(True)))
+    if line is not None:
+        if product is None:
+            raise ValueError("a business line needs the product table")
+        kept = kept.join(product.where(F.col("business_line") == line).select("product_code"), "product_code", "left_semi")
+    return kept
+
+
 def clamped_cover(insured: DataFrame, policy: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each insured person's cover cut to the policy period; a missing end falls back to the other one.
 

@@ -148,6 +148,21 @@ def month_over_month_headcount(t: Tables) -> DataFrame:
     return R.month_over_month_headcount(P.clamped_cover(t.insured, t.policy, carry=("insurer",)), t.policy)
 
 
+# Product chosen for the report by line and left out of it.
+LINE, LEFT_OUT = "雇主", ["BUILDING"]
+
+
+@query("month_over_month_line", "insurer:str day:str last_month_day:str head_count:long last_month_head_count:long", f"""
+WITH d AS (SELECT h.insurer, h.day, sum(h.head_count) AS head_count FROM x_daily_headcount h JOIN d_policy p ON p.policy_id = h.policy_id
+  JOIN d_product t ON t.product_code = p.product_code WHERE t.business_line = '{LINE}' AND p.product_code NOT IN ('{"', '".join(LEFT_OUT)}') GROUP BY 1, 2)
+SELECT a.insurer, a.day, CAST(a.day - INTERVAL 1 MONTH AS DATE) AS last_month_day, a.head_count, b.head_count AS last_month_head_count
+FROM d a JOIN d b ON b.insurer = a.insurer AND b.day = CAST(a.day - INTERVAL 1 MONTH AS DATE)""")
+def month_over_month_line(t: Tables) -> DataFrame:
+    """The report for one business line without some of its products."""
+    policy = P.of_products(t.policy, t.product, LINE, LEFT_OUT)
+    return R.month_over_month_headcount(P.clamped_cover(t.insured, policy, carry=("insurer",)), policy)
+
+
 @query("current_insured_mart", "policy_id:long from_day:str to_day:str head_count:long holder_name:str channel_name:str team_name:str customer_type:str "
        "is_old:str sku_price:double", f"""
 WITH r AS ({RUNS.format(cols="head_count", src="x_daily_headcount")}),
