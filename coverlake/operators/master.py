@@ -411,6 +411,12 @@ def proposal_person_risk(proposal: DataFrame, person: DataFrame, work_grade: Dat
     )
 
 
+def located_policies(policy: DataFrame, product: DataFrame, line: str) -> DataFrame:
+    """Live policies of the products of one line, the policies of :func:`insured_location`."""
+    of_line = product.where(F.col("one_level") == line).select("product_code")
+    return policy.where(F.col("policy_status").isin(LIVE_STATUSES)).join(of_line, "product_code", "left_semi")
+
+
 def insured_location(policy: DataFrame, insured: DataFrame, area: DataFrame, product: DataFrame, sales: DataFrame, line: str) -> DataFrame:
     """Where the holder, the insured person and the job are.
 
@@ -430,8 +436,7 @@ def insured_location(policy: DataFrame, insured: DataFrame, area: DataFrame, pro
     channel = F.when(F.col("channel_name") == DIRECT_CHANNEL, F.col("ent_name")).otherwise(F.col("channel_name"))
     sellers = sales.select(F.col("ent_name").alias("holder_name"), channel.alias("channel_name"))
     master = (
-        policy.where(F.col("policy_status").isin(LIVE_STATUSES))
-        .join(product.where(F.col("one_level") == line).select("product_code"), "product_code", "left_semi")
+        located_policies(policy, product, line)
         .select("policy_id", "holder_name")
         .join(holder.select("holder_name", "holder_province", "holder_city"), "holder_name", "left")
         .join(sellers, "holder_name", "left")

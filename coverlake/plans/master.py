@@ -210,7 +210,8 @@ def endorsement_conform(t: Tables) -> DataFrame:
 SELECT DISTINCT e.preserve_id, e.policy_id, e.insured_id, cert_no, join_date, leave_date, CASE WHEN leave_date IS NULL THEN 1 ELSE 2 END AS person_type
 FROM x_endorsement_person e JOIN d_insured i ON i.insured_id = e.insured_id AND i.policy_id = e.policy_id""")
 def endorsement_people(t: Tables) -> DataFrame:
-    people = endorsement_person(t)
+    # dealt by the id they are joined on, which also serves to tell equal rows: one shuffle each in place of two
+    people = endorsement_person(t).repartition("preserve_id")
     headers = people.select("preserve_id", "policy_id").distinct()
     return M.endorsement_people(people.drop("policy_id").distinct(), headers, t.insured.select("policy_id", "insured_id", "cert_no").distinct())
 
@@ -398,7 +399,9 @@ FROM base b LEFT JOIN people i ON i.policy_id = b.policy_id LEFT JOIN d_area ia
 LEFT JOIN first f ON f.holder_name = coalesce(i.job_company, b.holder_name) LEFT JOIN d_area ja ON ja.code = substr(f.region_code, 1, 4) || '00'""")
 def insured_location(t: Tables) -> DataFrame:
     names = t.customer.select(F.col("holder_id").alias("workplace_id"), "holder_name")
-    people = t.insured.join(names, "workplace_id", "left").withColumn(
+    # only people of the policies asked for are dealt by workplace
+    listed = t.insured.join(M.located_policies(t.policy, t.product, LINE).select("policy_id"), "policy_id", "left_semi")
+    people = listed.join(names, "workplace_id", "left").withColumn(
         "job_company", F.when(F.pmod("workplace_id", F.lit(2)) == 0, F.col("holder_name"))
     ).drop("holder_name")
     return M.insured_location(t.policy, people, t.area, t.product, t.sales, LINE)
