@@ -126,8 +126,11 @@ def claims_in_cover(insured: DataFrame, claim: DataFrame) -> DataFrame:
     covers = insured.where(F.col("start_date").isNotNull() & F.col("cert_no").isNotNull()).withColumn(
         "until", F.coalesce("end_date", F.date_sub("start_date", 1))
     )
-    multiplicity = covers.groupBy("policy_id", "cert_no", "start_date", "until").agg(F.count(F.lit(1)).alias("times"))
     keys = ["policy_id", "cert_no"]
+    # covers of people without a claim would sum up to none: they are left out before they are dealt and sorted
+    claimants = facts.select(*keys).distinct()
+    covers = covers.join(claimants, keys, "left_semi").unionByName(covers.where(F.col("policy_id").isNull()))
+    multiplicity = covers.groupBy(*keys, "start_date", "until").agg(F.count(F.lit(1)).alias("times"))
     return (
         sums_inside(multiplicity, facts, keys, "start_date", "until", "risk_day", ["payable", "cases"])
         .groupBy("policy_id", "cert_no", "start_date")

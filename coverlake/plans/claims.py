@@ -70,8 +70,12 @@ def listed_cover(t: Tables) -> DataFrame:
     return P.clamped_cover(t.insured.withColumn("listed_start", F.col("start_date")), t.policy)
 
 
-def work_claim(t: Tables) -> DataFrame:
-    return C.work_type_claim(work(t), t.insured, t.claim, listed_cover(t), AS_OF)
+def work_claim(t: Tables, *facts: DataFrame) -> DataFrame:
+    """Work types with claims and premium; ``facts`` by policy are joined first, while the people are still dealt by policy."""
+    people = work(t)
+    for one in facts:
+        people = people.join(one, "policy_id")
+    return C.work_type_claim(people, t.insured, t.claim, listed_cover(t), AS_OF)
 
 
 @query("claim_conform", "case_no:str policy_id:long risk_cert_no:str case_status:str case_type:str risk_day:str payable:double settled:double "

@@ -207,7 +207,7 @@ GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9)""")
 def plan_work_type_share(t: Tables) -> DataFrame:
     plans = t.plan.select("policy_id", "sku_coverage", "sku_ratio")
     policy = t.policy.select("policy_id", "channel", "insurer", "charge_type", "price")
-    return R.plan_work_type(work_claim(t).join(policy, "policy_id").join(plans, "policy_id"), AS_OF)
+    return R.plan_work_type(work_claim(t, policy, plans), AS_OF)
 
 
 @query("channel_overlap", "channel:str biz_operator:str salesman:str overlap:double curr_insured:long loss_rate:double risk_rate:double list_flag:long", f"""

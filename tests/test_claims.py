@@ -36,3 +36,17 @@ def test_standard_risk_reads_the_part_before_the_bar(rows):
         ("a", "3", "12|3"), ("a", "2", "S|1"), ("b", "1", ""), ("c", "1", None)])
     got = {r.work_name_check: (r.work_risk, r.gs_work_risk) for r in C.standard_risk(risk).collect()}
     assert got == {"a": ("2", 0), "b": ("1", -1)}
+
+
+def test_claims_without_a_policy_meet_covers_without_one(rows):
+    insured = rows(
+        "policy_id long, cert_no string, start_date date, end_date date",
+        [(None, "a", D("2001-01-01"), D("2001-01-31")), (1, "a", D("2001-01-01"), D("2001-01-31")), (1, "a", D("2001-01-01"), D("2001-01-31")), (1, "b", D("2001-01-01"), D("2001-01-31")),
+         (2, "b", D("2001-01-01"), None), (None, "c", D("2001-01-01"), None), (3, None, D("2001-01-01"), None)],
+    )
+    claim = rows(
+        "policy_id long, risk_cert_no string, risk_day date, payable decimal(14,4)",
+        [(None, "a", D("2001-01-05"), Decimal(3)), (1, "a", D("2001-01-31"), Decimal(5)), (2, "b", None, Decimal(7)), (2, "a", None, Decimal(9)), (3, None, None, Decimal(1))],
+    )
+    got = {(r.policy_id, r.cert_no): (r.claim_payable, r.claim_cases) for r in C.claims_in_cover(insured, claim).collect()}
+    assert got == {(None, "a"): (Decimal(3), 1), (1, "a"): (Decimal(10), 2), (2, "b"): (Decimal(7), 1)}

@@ -88,3 +88,14 @@ def test_only_people_of_located_policies_are_dealt_by_workplace(shuffled, folder
     dealt = below(plan_of(load_all()["insured_location"].run(shuffled, folder)), r"Exchange hashpartitioning\(workplace_id")
     found = [x for x in dealt if "l_suppkey" in x]  # the other side of the join are the names
     assert found and all("LeftSemi" in x for x in found)
+
+
+def test_only_people_with_a_claim_are_summed_up(shuffled, folder):
+    found = [*below(plan_of(load_all()["plan_work_type_share"].run(shuffled, folder), "optimizedPlan"), r"Window \[")]
+    assert found and all("LeftSemi" in x for x in found)
+
+
+def test_plan_facts_meet_people_before_these_are_dealt_by_certificate(shuffled, folder):
+    lines = plan_of(load_all()["plan_work_type_share"].run(shuffled, folder))
+    found = [*below(lines, r"SortMergeJoin \[policy_id#\d+L, cert_no#\d+, start_date#\d+\]")]
+    assert found and all("o_orderpriority" in x for x in found)  # the insurer
