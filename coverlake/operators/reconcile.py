@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverlake.operators.claims import SETTLED
+from coverlake.operators.timeline import shared
 
 DEAD, DISABLED = "死亡", "伤残"
 
 
 def _claims(claim: DataFrame) -> DataFrame:
-    """Per policy: cases and pay, by kind and state."""
+    """Per policy: cases and pay, by kind and state; two layers share them."""
     settled = F.trim("case_status") == SETTLED
-    return claim.groupBy("policy_id").agg(
+    kinds = claim.groupBy("policy_id").agg(
         F.count("case_no").alias("cases"),
         F.sum("payable").alias("payable"),
         F.sum(F.when(settled, F.col("payable"))).alias("settled_payable"),
@@ -23,6 +24,7 @@ def _claims(claim: DataFrame) -> DataFrame:
         F.count_if(F.trim("case_type") == DISABLED).alias("disabled_cases"),
         F.count_if(settled).alias("settled_cases"),
     )
+    return shared(kinds, "policy_id")
 
 
 def _totals(rows: DataFrame, as_of: date, extra: dict[str, Column]) -> DataFrame:

@@ -83,11 +83,16 @@ def risk_monitor(
     )
 
 
-def risk_monitor_today(policy: DataFrame, cover: DataFrame, ledger: DataFrame, claim: DataFrame, as_of: date) -> DataFrame:
+def risk_monitor_today(
+    policy: DataFrame, cover: DataFrame, ledger: DataFrame, claim: DataFrame, as_of: date,
+    exposure: DataFrame | None = None, earned: DataFrame | None = None,
+) -> DataFrame:
     """The rows of :func:`risk_monitor` for one day, without the others: head-count and running totals per group.
 
     Totals up to a day need no days: a level adds up to its value times its days so far, a flow to what is dated so far.
-    Everything is summed per policy first, and the group columns come from the policy.
+    Everything is summed per policy first, and the group columns come from the policy. A caller that has ``exposure``
+    (:func:`exposure_to_date`) and ``earned`` (:func:`earned_between` from the beginning, as ``earned_premium``) of the same
+    cover and day hands them in.
     """
     today, money = F.lit(as_of), "decimal(24,4)"
     period = policy.where(F.col("channel").isNotNull() & (F.col("start_date") <= today)).select(
@@ -99,8 +104,10 @@ def risk_monitor_today(policy: DataFrame, cover: DataFrame, ledger: DataFrame, c
     def so_far(df: DataFrame, day: str) -> DataFrame:
         return df.join(dates, "policy_id").where(F.col(day).between(F.col("start_date"), F.least("end_date", today)))
 
-    people = exposure_to_date(cover, as_of).select("policy_id", F.col("curr_insured").alias("head_count"), F.col("person_count").alias("acc_head_count"))
-    earned = earned_between(cover, None, as_of, "acc_earned_premium")
+    exposure = exposure_to_date(cover, as_of) if exposure is None else exposure
+    people = exposure.select("policy_id", F.col("curr_insured").alias("head_count"), F.col("person_count").alias("acc_head_count"))
+    earned = earned_between(cover, None, as_of, "earned_premium") if earned is None else earned
+    earned = earned.select("policy_id", F.col("earned_premium").alias("acc_earned_premium"))
     price = zero_money(F.col("day_price")) * (F.datediff("cover_end", "cover_start") + 1)
     expired = day_prices(cover.where(F.col("policy_end") <= today)).groupBy("policy_id").agg(F.sum(price).alias("acc_expired_premium"))
     moved = so_far(ledger.select("policy_id", "day", "sum_premium"), "day").groupBy("policy_id").agg(F.sum("sum_premium").alias("acc_ledger_premium"))

@@ -84,8 +84,8 @@ def monitor(t: Tables) -> DataFrame:
     return R.risk_monitor(t.policy, group_cover(t), ledger(t), t.claim, AS_OF)
 
 
-def monitor_today(t: Tables) -> DataFrame:
-    return R.risk_monitor_today(t.policy, P.clamped_cover(t.insured, t.policy), ledger(t), t.claim, AS_OF)
+def monitor_today(t: Tables, exposure: DataFrame | None = None, earned: DataFrame | None = None) -> DataFrame:
+    return R.risk_monitor_today(t.policy, P.clamped_cover(t.insured, t.policy), ledger(t), t.claim, AS_OF, exposure, earned)
 
 
 def policy_sales(t: Tables) -> DataFrame:

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverlake.adapters import Tables
+from coverlake.operators import quality as Q
 from coverlake.operators.premium import ledger_enrich
+from coverlake.operators.timeline import shared
 from coverlake.plans import load_all
 from coverlake.session import tune
 
@@ -90,6 +92,30 @@ def test_only_people_of_located_policies_are_dealt_by_workplace(shuffled, folder
     assert found and all("LeftSemi" in x for x in found)
 
 
+def test_layers_are_read_once_for_their_differences(spark, folder):
+    layers = [Q.long_form(spark.read.parquet(f"{folder}/{t}.parquet").agg(F.count(F.lit(1)).alias("n")), t) for t in ("orders", "part")]
+    assert sum("Relation [" in x for x in plan_of(Q.level_reconcile(layers), "optimizedPlan")) == 2
+
+
+def test_shared_rows_are_computed_once(shuffled, rows, tmp_path):
+    rows("k long, v long", [(k % 7, k) for k in range(50)] + [(None, 1), (None, None)]).write.parquet(f"{tmp_path}/t")
+    table = shuffled.read.parquet(f"{tmp_path}/t")
+    one = shared(table.groupBy("k").agg(F.sum("v").alias("v")), "k")
+    keys = shuffled.range(9).select(F.col("id").alias("k"))
+    both = keys.join(one, "k", "left").join(one.select("k", F.col("v").alias("w")), "k", "left")
+    got = sorted(((r.k, r.v, r.w) for r in both.collect()), key=str)
+    sums = {k: sum(v for v in range(50) if v % 7 == k) for k in range(7)}
+    assert got == sorted([(k, v, v) for k, v in sums.items()] + [(k, None, None) for k in (7, 8)], key=str)
+    final = "\n".join(plan_of(both)).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_the_fact_layer_and_the_mart_share_exposure(shuffled, folder):
+    df = load_all()["level_reconcile"].run(shuffled, folder)
+    kept = [x for x in plan_of(df) if "REPARTITION_BY_COL" in x]
+    assert len(kept) == 6  # claims by two layers, exposure and earned premium by two
+
+
 def test_only_people_with_a_claim_are_summed_up(shuffled, folder):
     found = [*below(plan_of(load_all()["plan_work_type_share"].run(shuffled, folder), "optimizedPlan"), r"Window \[")]
     assert found and all("LeftSemi" in x for x in found)
