@@ -86,3 +86,19 @@ def test_empty_and_untrained(rows):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     (r,) = lm.lm_scores(rows("doc_id long, text string", [(held, "a b")])).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and round(r.score, 6) == 0
+
+
+def test_files_of_many_ranges_stay_open_from_block_to_block(tmp_path, monkeypatch):
+    """As many ranges as some 12 GB of text have: the lookup of a second block opens no file again."""
+    bits = 11
+    keys = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    for k, key in enumerate(keys):
+        for column in ("keys", "count", "context"):
+            np.save(f"{tmp_path}/words-{column}-{k}.npy", np.full((1, 5) if column == "context" else 1, key if column == "keys" else k + 1))
+    store = lm.Store(str(tmp_path), "words", bits, tuple(range(len(keys) + 1)))
+    opened, load = [], np.load
+    monkeypatch.setattr(np, "load", lambda path, **how: opened.append(path) or load(path, **how))
+    for _ in range(2):
+        number, found = store.find(keys, {"count": np.int64, "context": np.int64})
+        assert number.tolist() == list(range(len(keys))) and found["count"].tolist() == [k + 1 for k in range(len(keys))]
+    assert len(opened) == len(set(opened)) == 3 * len(keys)
