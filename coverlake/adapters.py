@@ -136,17 +136,19 @@ class Tables:
     def _line(self) -> DataFrame:
         return self._with_id(self.raw("lineitem"))
 
-    @cached_property
-    def _line_start(self) -> DataFrame:
+    def _started(self, line: DataFrame) -> DataFrame:
         """Lines with the day of their order; the id is put together behind the join, so the shuffle carries plain numbers."""
         o = self.raw("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_day"))
-        return self._with_id(self.raw("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")))
+        return self._with_id(line.join(o, F.col("l_orderkey") == F.col("o_orderkey")))
 
     @cached_property
-    def insured(self) -> DataFrame:
+    def _line_start(self) -> DataFrame:
+        return self._started(self.raw("lineitem"))
+
+    def _insured(self, line: DataFrame, *more: str) -> DataFrame:
         start = F.date_add("order_day", F.col("l_linenumber") * 5 - 10)
         end = F.date_add(start, F.col("l_quantity").cast("int"))
-        return self._line_start.select(
+        return line.select(
             F.col("line_id").alias("insured_id"),
             F.col("l_orderkey").alias("policy_id"),
             F.col("l_partkey").alias("person_id"),
@@ -155,13 +157,29 @@ class Tables:
             F.when((F.col("l_linenumber") == 7) & (F.col("l_discount") == 0), None).otherwise(start).alias("start_date"),
             F.when((F.col("l_linenumber") == 1) & (F.col("l_tax") == 0), None).otherwise(end).alias("end_date"),
             F.col("l_suppkey").alias("workplace_id"),
+            *more,
         )
 
+    @cached_property
+    def insured(self) -> DataFrame:
+        return self._insured(self._line_start)
+
+    @cached_property
+    def _work_type(self) -> DataFrame:
+        return self.raw("part").select(F.col("p_partkey").alias("person_id"), F.when(F.pmod("p_size", F.lit(10)) != 0, F.col("p_type")).alias("work_type"))
+
     @cached_property
     def insured_work(self) -> DataFrame:
         """Insured people with the text of their work type."""
-        p = self.raw("part").select(F.col("p_partkey").alias("person_id"), F.when(F.pmod("p_size", F.lit(10)) != 0, F.col("p_type")).alias("work_type"))
-        return self.insured.join(p, "person_id", "left")
+        return self.insured.join(self._work_type, "person_id", "left")
+
+    @cached_property
+    def insured_work_by_policy(self) -> DataFrame:
+        """The same rows, dealt by policy: plain lines get the text before they are dealt by order, so no shuffle carries ids or
+        certificates."""
+        line = self.raw("lineitem")
+        typed = line.join(self._work_type, F.col("l_partkey") == F.col("person_id"), "left").select(line["*"], "work_type")
+        return self._insured(self._started(typed), "work_type")
 
     @cached_property
     def dependant(self) -> DataFrame:

@@ -146,13 +146,19 @@ def sums_inside(
 
     An interval join without pairs and without a join of intervals: facts shrink to one row per (keys, day), their prefix
     sums are read at ``end`` and just before ``start``, and the two readings are subtracted. Facts without a date count in
-    every cover of their keys; they are an aggregate of their own. A cover without a fact gives zero. ``covers`` must be
+    every cover of their keys: they come before all days, so sums of their own have them at every reading. A cover without a
+    fact gives zero. ``covers`` must be
     distinct; further columns of it are kept. Covers and facts of one key spread over the periods of :func:`prefix_sums`.
     """
     s, e, day = F.col(start), F.col(end), F.col(fact_day)
     own = covers.columns
     kinds = {m: facts.schema[m].dataType for m in measures}
-    daily = facts.where(day.isNotNull()).groupBy(*keys, day.alias("day")).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in measures])
+    undated = {m: f"_undated_{m}" for m in measures}
+    daily = facts.groupBy(*keys, day.alias("day")).agg(
+        *[F.sum(F.when(day.isNotNull(), F.col(m))).cast(kinds[m]).alias(m) for m in measures],
+        *[F.sum(F.when(day.isNull(), F.col(m))).alias(u) for m, u in undated.items()],
+    )
+    kinds |= {u: daily.schema[u].dataType for u in undated.values()}
     readings = covers.select(
         *own,
         F.inline(
@@ -161,18 +167,13 @@ def sums_inside(
                 F.struct(F.when(s <= e, F.date_sub(s, 1)).otherwise(s).alias("day"), F.lit(-1).alias("sign")),
             )
         ),
-        *[F.lit(0).cast(kinds[m]).alias(m) for m in measures],
+        *[F.lit(0).cast(t).alias(m) for m, t in kinds.items()],
     )
-    summed = (
-        prefix_sums(daily.unionByName(readings, allowMissingColumns=True), keys, "day", measures)
+    return (
+        prefix_sums(daily.unionByName(readings, allowMissingColumns=True), keys, "day", list(kinds))
         .where(F.col("sign").isNotNull())
         .groupBy(*own)
-        .agg(*[F.sum(F.col(m) * F.col("sign")).alias(m) for m in measures])
-    )
-    undated = facts.where(day.isNull()).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.sum(m).alias(f"undated_{m}") for m in measures])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return summed.join(undated, same, "left").select(
-        *own, *[(F.col(m) + F.coalesce(f"undated_{m}", F.lit(0))).alias(m) for m in measures]
+        .agg(*[(F.sum(F.col(m) * F.col("sign")) + F.sum(F.when(F.col("sign") > 0, F.col(u)))).alias(m) for m, u in undated.items()])
     )
 
 

@@ -59,7 +59,7 @@ FROM d_policy p LEFT JOIN x_claim_daily c ON p.policy_id = c.policy_id AND c.day
 
 def work(t: Tables) -> DataFrame:
     """Insured people with work class, nominal age at the start of cover and gender."""
-    matched = C.work_type_match(t.insured_work, t.work_grade, t.work_match, t.work_risk)
+    matched = C.work_type_match(t.insured_work_by_policy, t.work_grade, t.work_match, t.work_risk)
     return matched.withColumn("age", certificate.age_at(F.col("cert_no"), F.col("start_date"))).withColumn(
         "gender", certificate.gender(F.col("cert_no"))
     )

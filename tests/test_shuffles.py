@@ -125,3 +125,14 @@ def test_plan_facts_meet_people_before_these_are_dealt_by_certificate(shuffled,
     lines = plan_of(load_all()["plan_work_type_share"].run(shuffled, folder))
     found = [*below(lines, r"SortMergeJoin \[policy_id#\d+L, cert_no#\d+, start_date#\d+\]")]
     assert found and all("o_orderpriority" in x for x in found)  # the insurer
+
+
+@pytest.mark.parametrize("name", ["work_type_claim", "policy_person_wide", "plan_work_type_share"])
+def test_people_and_claims_stay_dealt_by_policy(shuffled, folder, name):
+    dealt = [x for x in plan_of(load_all()[name].run(shuffled, folder)) if "Exchange hashpartitioning" in x]
+    assert dealt and not any(re.search(r"cert_no|_range|isnull\(", x) for x in dealt)
+
+
+def test_no_shuffle_of_people_for_their_work_type_carries_ids(shuffled, folder):
+    dealt = below(plan_of(load_all()["work_type_match"].run(shuffled, folder)), r"Exchange hashpartitioning\((l_partkey|person_id|l_orderkey|policy_id)")
+    assert not any("concat_ws" in x for x in dealt)
