@@ -211,20 +211,31 @@ def insured_facts(policy: DataFrame, work: DataFrame, dependant: DataFrame, clai
     Dependants (master_id, slave_cert_no) who are never insured themselves count with their master's cover. Rejected and
     withdrawn counts are null where there are none.
     """
-    masters = work.select(F.col("insured_id").alias("master_id"), "start_date", "end_date")
-    slaves = (
-        dependant.select("master_id", F.col("slave_cert_no").alias("cert_no"))
-        .join(work.select("cert_no"), "cert_no", "left_anti")
-        .join(masters, "master_id")
-        .select("cert_no", F.col("master_id").alias("insured_id"), "start_date", "end_date")
-    )
-    work = work.select("cert_no", "insured_id", "start_date", "end_date", "work_type", "work_risk").unionByName(slaves, allowMissingColumns=True)
+    own = work.select("cert_no", "insured_id", "start_date", "end_date", "work_type", "work_risk")
+    # the master's work goes along unused: with the same columns both sides read one shuffle of the work
+    masters = own.drop("cert_no").withColumnRenamed("insured_id", "master_id")
+    slaves = dependant.select("master_id", F.col("slave_cert_no").alias("cert_no")).join(masters, "master_id").withColumnRenamed("master_id", "insured_id")
+    both = own.withColumn("own", F.lit(True)).unionByName(slaves.withColumn("own", F.lit(False)))
     start = F.coalesce("start_date", "end_date")
     end = F.coalesce("end_date", "start_date")
-    covered = work.where(F.col("cert_no").isNotNull()).groupBy("cert_no").agg(
-        F.max_by(F.struct("work_type", "work_risk"), F.struct(start, F.col("insured_id"))).alias("w"),
-        F.max(F.lit(as_of).between(start, end)).alias("now"),
-        F.count(F.lit(1)).alias("covers"),
+    now, mine, others = F.lit(as_of).between(start, end), F.col("own"), ~F.col("own")
+    covered = (
+        both.groupBy("cert_no")
+        .agg(
+            F.count("cert_no").alias("known"),  # counted, as a filter on the key would go below the shuffle and tell the sides apart
+            F.max_by(F.when(mine, F.struct("work_type", "work_risk")), F.when(mine, F.struct(start, F.col("insured_id")))).alias("w"),
+            F.max(F.when(mine, now)).alias("own_now"),
+            F.max(F.when(others, now)).alias("slave_now"),
+            F.count_if(mine).alias("own_covers"),
+            F.count_if(others).alias("slave_covers"),
+        )
+        .where("known > 0")
+        .select(
+            "cert_no",
+            "w",
+            F.when(F.col("own_covers") > 0, F.col("own_now")).otherwise(F.col("slave_now")).alias("now"),
+            F.when(F.col("own_covers") > 0, F.col("own_covers")).otherwise(F.col("slave_covers")).alias("covers"),
+        )
     )
     holders = policy.select("cert_no").distinct().withColumn("holder", F.lit(True))
     claims = claim.groupBy(F.col("risk_cert_no").alias("cert_no")).agg(

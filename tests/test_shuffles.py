@@ -136,3 +136,10 @@ def test_people_and_claims_stay_dealt_by_policy(shuffled, folder, name):
 def test_no_shuffle_of_people_for_their_work_type_carries_ids(shuffled, folder):
     dealt = below(plan_of(load_all()["work_type_match"].run(shuffled, folder)), r"Exchange hashpartitioning\((l_partkey|person_id|l_orderkey|policy_id)")
     assert not any("concat_ws" in x for x in dealt)
+
+
+def test_masters_and_insured_people_read_one_shuffle(shuffled, folder):
+    final = plan_of(load_all()["insured_facts"].run(shuffled, folder))
+    shuffles = sorted(re.sub(r"#\d+L?|plan_id=\d+", "", x) for x in final if re.search(r"Exchange hashpartitioning\(l_orderkey", x))
+    columns = [tuple(sorted(set(re.findall(r"l_\w+", x)))) for x in below(final, r"Exchange hashpartitioning\(l_partkey")]
+    assert len(shuffles) == 3 and len(set(columns)) == 1  # claims, and twice the same people
